@@ -117,8 +117,8 @@ def sales_without_product(sales: DataFrame, products: DataFrame) -> DataFrame:
 
 def disconnected_facts(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Fact rows that miss a dimension, with a 0/1 column for each."""
-    c = customers.select(F.col("customer_key").alias("_c")).distinct()
-    p = products.select(F.col("product_key").alias("_p")).distinct()
+    c = customers.select(F.col("customer_key").alias("_c"))
+    p = products.select(F.col("product_key").alias("_p"))
     joined = fact.join(c, fact.customer_key == c._c, "left").join(p, fact.product_key == p._p, "left")
     return joined.filter(F.col("_c").isNull() | F.col("_p").isNull()).select(
         *fact.columns,

@@ -35,7 +35,7 @@ def surrogate_key(df: DataFrame, id_column: str, key_column: str, copies: str |
     """Add ``key_column``: 1..n by ascending ``id_column``, NULL first.
 
     ``copies`` names a column with the number of copies that each row stands for; the result has them all, numbered,
-    without that column.
+    without that column. The frame is evaluated twice, so it must give the same rows each time.
     """
     if not isinstance(df.schema[id_column].dataType, T.ByteType | T.ShortType | T.IntegerType):
         raise TypeError(f"{id_column} must be an INT: its range bounds the number of cells")

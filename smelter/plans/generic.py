@@ -59,7 +59,7 @@ def clean(
     df: DataFrame,
     as_of: dt.date | None = None,
     rules: Sequence[Rule] = RULES,
-    ties: Sequence[str] | None = None,
+    ties: Sequence[str] = (),
     keep_null_key: bool = False,
 ) -> DataFrame:
     """Clean every column by its rule; where the table has a key and a record date, keep the latest record per key."""

@@ -24,9 +24,7 @@ from smelter.plans.profiles import PRODUCTION, Profile
 from smelter.schemas import EXTRACTS, FUTURE_COLUMN
 
 
-def silver_customers(
-    bronze: DataFrame, as_of: dt.date | None = None, ties: Sequence[str] | None = None
-) -> DataFrame:
+def silver_customers(bronze: DataFrame, as_of: dt.date | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Latest record per customer, names trimmed, codes spelled out, future dates flagged."""
     return latest_record(bronze, "cust_id", "cust_create_date", ties).select(
         "cust_id",
@@ -40,7 +38,7 @@ def silver_customers(
     )
 
 
-def silver_products(bronze: DataFrame, profile: Profile = PRODUCTION, ties: Sequence[str] | None = None) -> DataFrame:
+def silver_products(bronze: DataFrame, profile: Profile = PRODUCTION, ties: Sequence[str] = ()) -> DataFrame:
     """Products with repaired costs and date ranges.
 
     Production keeps the latest record per product, trims the key and spells out the product line; CI keeps every row

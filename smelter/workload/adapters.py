@@ -43,8 +43,8 @@ SELECT CONCAT('SO', CAST(l_orderkey AS VARCHAR(10))) AS sls_ord_num,
   CASE WHEN l_orderkey % 40 = 0 THEN 0 WHEN l_orderkey % 41 = 0 THEN 32154
     ELSE CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INT) END AS sls_order_dt,
   CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INT) AS sls_ship_dt,
-  CAST(CASE WHEN l_orderkey % 43 = 0 THEN 0 ELSE year(l_shipdate + INTERVAL 7 DAY) * 10000
-    + month(l_shipdate + INTERVAL 7 DAY) * 100 + day(l_shipdate + INTERVAL 7 DAY) END AS INT) AS sls_due_dt,
+  CAST(CASE WHEN l_orderkey % 43 = 0 THEN 0 ELSE year(CAST(l_shipdate AS DATE) + 7) * 10000
+    + month(CAST(l_shipdate AS DATE) + 7) * 100 + day(CAST(l_shipdate AS DATE) + 7) END AS INT) AS sls_due_dt,
   CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(FLOOR(l_extendedprice / l_quantity) * l_quantity AS INT) END
     AS sls_sales,
   CAST(l_quantity AS INT) AS sls_quantity,

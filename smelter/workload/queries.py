@@ -35,7 +35,7 @@ from smelter.operators import checks as k
 from smelter.operators.latest import latest_record
 from smelter.operators.surrogate import collapse_copies, surrogate_key
 from smelter.plans import bronze as load
-from smelter.plans import generic, gold, quality, silver
+from smelter.plans import generic, gold, pipeline, quality, silver
 from smelter.plans.profiles import CI, PRODUCTION, Profile
 from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, FUTURE_COLUMN, SILVER, silver_schema
 from smelter.session import new_folder
@@ -513,8 +513,11 @@ def _gold_arguments(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _gate(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
-    tables = _silver(spark, sf_dir, profile)
-    return quality.gate(spark, sources(spark, sf_dir), tables, gold.gold_layer(tables), CHECK_DATE, profile)
+    """The gate over stored tables, as a run leaves them."""
+    warehouse = _store_bronze(spark, sf_dir, f"gate_{profile.name}")
+    pipeline.build_silver(warehouse, FLAG_DATE, profile)
+    pipeline.build_gold(warehouse)
+    return quality.gate(spark, **pipeline.gate_tables(warehouse), as_of=CHECK_DATE, profile=profile)
 
 
 @query
