@@ -7,19 +7,26 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from smelter.schemas import BRONZE, EXTRACTS
+from smelter.schemas import BRONZE, EXTRACTS, columns_of
 from smelter.sources.extracts import REASON, accepted, read_extract, rejected
 from smelter.sources.tables import Warehouse
 
 AUDIT_TABLE = "load_audit"
 REJECTS_TABLE = "load_rejects"
 BATCH = "*"
-AUDIT_DDL = (
-    "batch_id STRING, table_name STRING, started_at TIMESTAMP, ended_at TIMESTAMP, "
-    "rows_loaded BIGINT, rows_rejected BIGINT, status STRING, error STRING"
+AUDIT_SCHEMA = columns_of(
+    batch_id=T.StringType(),
+    table_name=T.StringType(),
+    started_at=T.TimestampType(),
+    ended_at=T.TimestampType(),
+    rows_loaded=T.LongType(),
+    rows_rejected=T.LongType(),
+    status=T.StringType(),
+    error=T.StringType(),
 )
-REJECTS_DDL = "batch_id STRING, table_name STRING, reason STRING, record STRING"
+REJECTS_SCHEMA = columns_of(batch_id=T.StringType(), table_name=T.StringType(), reason=T.StringType(), record=T.StringType())
 LOADED, FAILED = "LOADED", "FAILED"
 
 
@@ -67,9 +74,9 @@ def load_bronze(
     """
     if on_error not in ("raise", "record"):
         raise ValueError(f"on_error must be 'raise' or 'record', not {on_error!r}")
-    for name, ddl in ((AUDIT_TABLE, AUDIT_DDL), (REJECTS_TABLE, REJECTS_DDL)):
+    for name, schema in ((AUDIT_TABLE, AUDIT_SCHEMA), (REJECTS_TABLE, REJECTS_SCHEMA)):
         if not warehouse.exists(BRONZE, name):
-            warehouse.overwrite(BRONZE, name, warehouse.spark.createDataFrame([], ddl))
+            warehouse.create_table(BRONZE, name, schema)
 
     batch_id, batch_start = uuid.uuid4().hex, _now()
     total, entries, failure = [0, 0], [], None
@@ -87,7 +94,7 @@ def load_bronze(
             total = [total[0] + loaded, total[1] + rejects]
     status = FAILED if failure else LOADED
     entries.append((batch_id, BATCH, batch_start, _now(), *total, status, None))
-    audit = warehouse.spark.createDataFrame(entries, AUDIT_DDL)
+    audit = warehouse.spark.createDataFrame(entries, AUDIT_SCHEMA)
     warehouse.append(BRONZE, AUDIT_TABLE, audit, audit.columns)
     if failure and on_error == "raise":
         raise LoadFailed(f"bronze load stopped at {failure[0]}: {failure[1]}") from failure[1]

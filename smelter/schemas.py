@@ -19,13 +19,9 @@ class Extract:
 
     folder: str
     file: str
-    ddl: str
+    schema: T.StructType
     max_length: dict[str, int]
 
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.ddl)
-
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
@@ -34,51 +30,67 @@ class Extract:
         return "/".join([base_path.rstrip("/\\"), self.folder, self.file])
 
 
+INT, DATE, DATETIME, TEXT = T.IntegerType(), T.DateType(), T.TimestampNTZType(), T.StringType()
+
+
+def columns_of(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
 # Source files, column order, types and text lengths.
 EXTRACTS: dict[str, Extract] = {
     "crm_cust_info": Extract(
         "source_crm",
         "cst_info.csv",
-        "cust_id INT, cust_key STRING, cust_firstname STRING, cust_lastname STRING, "
-        "cust_marital_status STRING, cust_gender STRING, cust_create_date DATE",
-        {
-            "cust_key": 50,
-            "cust_firstname": 50,
-            "cust_lastname": 50,
-            "cust_marital_status": 50,
-            "cust_gender": 10,
-        },
+        columns_of(
+            cust_id=INT,
+            cust_key=TEXT,
+            cust_firstname=TEXT,
+            cust_lastname=TEXT,
+            cust_marital_status=TEXT,
+            cust_gender=TEXT,
+            cust_create_date=DATE,
+        ),
+        {"cust_key": 50, "cust_firstname": 50, "cust_lastname": 50, "cust_marital_status": 50, "cust_gender": 10},
     ),
     "crm_prd_info": Extract(
         "source_crm",
         "prd_info.csv",
-        "prd_id INT, prd_key STRING, prd_nm STRING, prd_cost INT, prd_line STRING, "
-        "prd_start_dt TIMESTAMP_NTZ, prd_end_dt TIMESTAMP_NTZ",
+        columns_of(
+            prd_id=INT,
+            prd_key=TEXT,
+            prd_nm=TEXT,
+            prd_cost=INT,
+            prd_line=TEXT,
+            prd_start_dt=DATETIME,
+            prd_end_dt=DATETIME,
+        ),
         {"prd_key": 50, "prd_nm": 50, "prd_line": 50},
     ),
     "crm_sales_details": Extract(
         "source_crm",
         "sales_details.csv",
-        "sls_ord_num STRING, sls_prd_key STRING, sls_cust_id INT, sls_order_dt INT, sls_ship_dt INT, "
-        "sls_due_dt INT, sls_sales INT, sls_quantity INT, sls_price INT",
+        columns_of(
+            sls_ord_num=TEXT,
+            sls_prd_key=TEXT,
+            sls_cust_id=INT,
+            sls_order_dt=INT,
+            sls_ship_dt=INT,
+            sls_due_dt=INT,
+            sls_sales=INT,
+            sls_quantity=INT,
+            sls_price=INT,
+        ),
         {"sls_ord_num": 50, "sls_prd_key": 50},
     ),
     "erp_cust_az12": Extract(
-        "source_erp",
-        "CST_AZ12.csv",
-        "cid STRING, bdate DATE, gen STRING",
-        {"cid": 50, "gen": 10},
-    ),
-    "erp_loc_a101": Extract(
-        "source_erp",
-        "LOC_A101.csv",
-        "cid STRING, cntry STRING",
-        {"cid": 50, "cntry": 50},
+        "source_erp", "CST_AZ12.csv", columns_of(cid=TEXT, bdate=DATE, gen=TEXT), {"cid": 50, "gen": 10}
     ),
+    "erp_loc_a101": Extract("source_erp", "LOC_A101.csv", columns_of(cid=TEXT, cntry=TEXT), {"cid": 50, "cntry": 50}),
     "erp_px_cat_g1v2": Extract(
         "source_erp",
         "PX_CAT_G1V2.csv",
-        "id STRING, cat STRING, subcat STRING, maintenance STRING",
+        columns_of(id=TEXT, cat=TEXT, subcat=TEXT, maintenance=TEXT),
         {"id": 50, "cat": 50, "subcat": 50, "maintenance": 50},
     ),
 }

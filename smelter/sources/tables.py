@@ -45,7 +45,7 @@ class Warehouse:
     def create_table(self, layer: str, table: str, schema: T.StructType) -> None:
         """An empty table with a declared schema, in place of one of that name."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
-        self.overwrite(layer, table, self.spark.createDataFrame([], schema))
+        self.spark.catalog.createTable(self.name(layer, table), source="parquet", schema=schema)
 
     def create_declared_tables(self) -> None:
         """The six bronze and six silver tables, empty."""

@@ -1,3 +1,4 @@
+import datetime as dt
 import sys
 import tempfile
 from pathlib import Path
@@ -7,6 +8,9 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from smelter.plans.gold import gold_layer  # noqa: E402
+from smelter.plans.silver import silver_layer  # noqa: E402
+from smelter.schemas import EXTRACTS  # noqa: E402
 from smelter.sources.tables import Warehouse  # noqa: E402
 
 
@@ -15,7 +19,9 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("smelter-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "2")
+        .config("spark.sql.codegen.wholeStage", "false")  # tiny tables: compiling costs more than it saves
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
@@ -57,13 +63,9 @@ def evaluate(spark):
     return run
 
 
-@pytest.fixture
-def tables(frame):
-    """Six small, clean bronze tables."""
-    import datetime as dt
-
-    from smelter.schemas import EXTRACTS
-
+@pytest.fixture(scope="session")
+def clean_layers(spark):
+    """Bronze, silver and gold of six small, clean tables."""
     day = dt.date(2013, 1, 1)
     start, end = dt.datetime(2012, 7, 1), dt.datetime(2013, 7, 1)
     rows = {
@@ -85,4 +87,22 @@ def tables(frame):
         "erp_loc_a101": [("AW-00000001", "France"), ("AW-00000002", "Japan")],
         "erp_px_cat_g1v2": [("AC_HE", "Accessories", "Helmets", "Yes"), ("BI_MB", "Bikes", "Mountain Bikes", "No")],
     }
-    return {t: frame(rows[t], e.ddl) for t, e in EXTRACTS.items()}
+    bronze = {t: spark.createDataFrame(rows[t], e.schema).cache() for t, e in EXTRACTS.items()}
+    silver = {t: df.cache() for t, df in silver_layer(bronze, day).items()}
+    gold = {t: df.cache() for t, df in gold_layer(silver).items()}
+    return bronze, silver, gold
+
+
+@pytest.fixture
+def tables(clean_layers):
+    return dict(clean_layers[0])
+
+
+@pytest.fixture
+def silver(clean_layers):
+    return dict(clean_layers[1])
+
+
+@pytest.fixture
+def gold(clean_layers):
+    return dict(clean_layers[2])

@@ -1,0 +1,142 @@
+import datetime as dt
+import os
+
+import pytest
+
+from smelter.plans.bronze import LoadFailed, load_audit, load_bronze
+from smelter.schemas import BRONZE, EXTRACTS
+from smelter.sources.extracts import write_extract
+
+HEADERS = {t: ",".join(e.columns) for t, e in EXTRACTS.items()}
+LINES = {
+    "crm_cust_info": ["1,AW1, Ann ,Lee,M,F,2013-01-05", "2,AW2,Bo,Ray,,,"],
+    "crm_prd_info": ["210,CO-RF-P1,Frame - Black- 58,,R ,2003-07-01,", "211,CO-RF-P2,X,7,M,2011-07-01 10:20:30,2012-01-01"],
+    "crm_sales_details": ["SO1,P1,1,20130105,0,20130112,24,2,12"],
+    "erp_cust_az12": ['NASAW1,1980-02-03,"Male"'],
+    "erp_loc_a101": ["AW-1,France", "AW-2,"],
+    "erp_px_cat_g1v2": ["AC_BR,Accessories,Bike Racks,Yes"],
+}
+
+
+def write(folder, changes=None):
+    for table, extract in EXTRACTS.items():
+        lines = (changes or {}).get(table, LINES[table])
+        if lines is None:
+            continue
+        path = extract.path(folder)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w", encoding="utf-8") as f:
+            f.write("\n".join([HEADERS[table].upper(), *lines]) + "\n")  # header names do not matter
+    return folder
+
+
+def audit_rows(df):
+    return {r.table_name: (r.rows_loaded, r.rows_rejected, r.status) for r in df.collect()}
+
+
+def rows(warehouse, table):
+    return [tuple(r) for r in warehouse.read(BRONZE, table).orderBy(warehouse.read(BRONZE, table).columns[0]).collect()]
+
+
+def test_load(warehouse, folder):
+    audit = load_bronze(warehouse, write(folder) + "/")
+    assert audit_rows(audit) == {
+        "crm_cust_info": (2, 0, "LOADED"), "crm_prd_info": (2, 0, "LOADED"), "crm_sales_details": (1, 0, "LOADED"),
+        "erp_cust_az12": (1, 0, "LOADED"), "erp_loc_a101": (2, 0, "LOADED"), "erp_px_cat_g1v2": (1, 0, "LOADED"),
+        "*": (9, 0, "LOADED"),
+    }
+    assert all(r.seconds >= 0 and r.ended_at >= r.started_at for r in audit.collect())
+    assert rows(warehouse, "crm_cust_info") == [
+        (1, "AW1", " Ann ", "Lee", "M", "F", dt.date(2013, 1, 5)), (2, "AW2", "Bo", "Ray", None, None, None),
+    ]
+    assert rows(warehouse, "crm_prd_info") == [
+        (210, "CO-RF-P1", "Frame - Black- 58", None, "R ", dt.datetime(2003, 7, 1), None),
+        (211, "CO-RF-P2", "X", 7, "M", dt.datetime(2011, 7, 1, 10, 20, 30), dt.datetime(2012, 1, 1)),
+    ]
+    assert rows(warehouse, "erp_cust_az12") == [("NASAW1", dt.date(1980, 2, 3), '"Male"')]  # no quoting
+    assert rows(warehouse, "erp_loc_a101") == [("AW-1", "France"), ("AW-2", None)]
+    for table, extract in EXTRACTS.items():
+        assert warehouse.read(BRONZE, table).schema.simpleString() == extract.schema.simpleString()
+
+
+def test_load_is_a_full_refresh(warehouse, folder):
+    load_bronze(warehouse, write(folder))
+    load_bronze(warehouse, write(folder, {"erp_loc_a101": ["AW-3,Peru"]}))
+    assert rows(warehouse, "erp_loc_a101") == [("AW-3", "Peru")]
+    assert load_audit(warehouse).count() == 14
+
+
+def test_broken_rows_are_kept_apart(warehouse, folder):
+    broken = ["x1,AW1,Ann,Lee,M,F,2013-01-05", "3,AW3,Cy,Fox,M,F,2013-99-05", "4,AW4,too,few", f"5,{'A' * 51},B,C,M,F,"]
+    audit = load_bronze(warehouse, write(folder, {"crm_cust_info": LINES["crm_cust_info"] + broken}))
+    assert audit_rows(audit)["crm_cust_info"] == (2, 4, "LOADED")
+    assert [r[0] for r in rows(warehouse, "crm_cust_info")] == [1, 2]
+    rejects = {r.record: r.reason for r in warehouse.read(BRONZE, "load_rejects").collect()}
+    assert set(rejects) == set(broken)
+    assert rejects[broken[0]] == "malformed row"
+    assert rejects[broken[3]] == "cust_key over 50 characters"
+
+
+def test_too_many_broken_rows_fail_and_leave_the_table_empty(warehouse, folder):
+    write(folder, {"erp_cust_az12": ["A,1980-01-01,Male", "B,not a date,Male", "C,nor this,Male"]})
+    with pytest.raises(LoadFailed, match="erp_cust_az12"):
+        load_bronze(warehouse, folder, max_errors=1)
+    audit = audit_rows(load_audit(warehouse))
+    assert audit["erp_cust_az12"][2] == "FAILED" and audit["*"][2] == "FAILED"
+    assert "erp_loc_a101" not in audit  # the load stopped
+    assert rows(warehouse, "erp_cust_az12") == []
+    assert warehouse.read(BRONZE, "load_rejects").count() == 2
+
+
+def test_missing_file_is_recorded_and_the_rest_loaded(warehouse, folder):
+    audit = load_bronze(warehouse, write(folder, {"crm_sales_details": None}), on_error="record")
+    got = audit_rows(audit)
+    assert got["crm_sales_details"] == (0, 0, "FAILED")
+    assert got["erp_px_cat_g1v2"] == (1, 0, "LOADED")
+    assert got["*"] == (8, 0, "FAILED")
+    assert "PATH_NOT_FOUND" in audit.filter("status = 'FAILED' AND table_name <> '*'").first().error
+
+
+def test_on_error_is_checked(warehouse, folder):
+    with pytest.raises(ValueError, match="on_error"):
+        load_bronze(warehouse, folder, on_error="ignore")
+
+
+def test_written_extracts_load_again(warehouse, folder, tables):
+    for table, df in tables.items():
+        write_extract(df, table, folder)
+    load_bronze(warehouse, folder)
+    for table, df in tables.items():
+        stored = warehouse.read(BRONZE, table)
+        assert stored.exceptAll(df).count() == 0 and df.exceptAll(stored).count() == 0
+
+
+@pytest.mark.skipif("SMELTER_EXTRACTS" not in os.environ, reason="names a folder with the public product extracts")
+def test_golden_counts_of_the_public_extracts(warehouse, folder, tables):
+    from pyspark.sql import functions as F
+
+    from smelter.plans.gold import dim_products
+    from smelter.plans.silver import silver_products
+
+    load_bronze(warehouse, os.environ["SMELTER_EXTRACTS"], on_error="record")
+    products, categories = warehouse.read(BRONZE, "crm_prd_info"), warehouse.read(BRONZE, "erp_px_cat_g1v2")
+    first = products.agg(
+        F.count("*"), F.countDistinct("prd_id"), F.countDistinct("prd_key"), F.count("prd_end_dt"),
+        F.count_if(F.col("prd_cost").isNull()), F.count_if(F.col("prd_line").isNull()),
+        F.count_if(F.col("prd_line") != F.trim("prd_line")), F.count_if(F.col("prd_end_dt") < F.col("prd_start_dt")),
+    ).first()
+    assert tuple(first) == (397, 397, 295, 200, 2, 17, 380, 200)
+    silver = silver_products(products)
+    assert tuple(silver.agg(F.count("*"), F.count("prd_end_dt"), F.sum("prd_cost")).first()) == (397, 0, 171543)
+    assert silver.filter("prd_cost <= 0").count() == 2
+    lines = {r.prd_line: r["count"] for r in silver.groupBy("prd_line").count().collect()}
+    assert lines == {"Road": 162, "Mountain": 112, "Other Sales": 54, "Touring": 52, None: 17}
+    dim = dim_products(silver, categories)
+    got = {r.category: (r.n, r.c) for r in dim.groupBy("category").agg(F.count("*").alias("n"), F.sum("product_cost").alias("c")).collect()}
+    assert got == {
+        "Components": (182, 56371), "Bikes": (125, 113359), "Clothing": (48, 1153), "Accessories": (35, 460), None: (7, 200),
+    }
+    assert categories.count() == 37
+    assert {r.maintenance: r["count"] for r in categories.groupBy("maintenance").count().collect()} == {"Yes": 20, "No": 17}
+    versions = dim.groupBy("product_number").count().filter("count > 1")
+    assert tuple(versions.agg(F.count("*"), F.sum("count"), F.max("count")).first()) == (77, 179, 3)

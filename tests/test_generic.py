@@ -1,0 +1,56 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from smelter.plans.generic import clean, clean_layer, key_column
+from smelter.plans.silver import silver_customers
+from smelter.schemas import BRONZE, EXTRACTS
+
+DAY, LATER = dt.date(2013, 1, 1), dt.date(2014, 1, 1)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_key_column(tables):
+    assert {t: key_column(df) for t, df in tables.items()} == {
+        "crm_cust_info": "cust_id", "crm_prd_info": "prd_id", "crm_sales_details": None, "erp_cust_az12": "cid",
+        "erp_loc_a101": "cid", "erp_px_cat_g1v2": "id",
+    }
+
+
+def test_customers_get_their_rules_and_their_latest_record(frame):
+    rows = [
+        (1, " AW1 ", " Ann", "Lee ", "m ", "F", DAY),
+        (1, " AW1 ", " Eve", "Lee ", "S", "x", LATER),
+        (None, "AW2", "No", "Key", None, None, DAY),
+    ]
+    df = frame(rows, EXTRACTS["crm_cust_info"].schema)
+    one = (1, "AW1", "Eve", "Lee", "Single", "n/a", LATER, 1)
+    assert found(clean(df, DAY)) == [one]
+    assert found(clean(df, DAY, keep_null_key=True)) == [one, (None, "AW2", "No", "Key", "n/a", "n/a", DAY, 0)]
+
+
+def test_same_result_as_the_silver_table_but_for_the_trimmed_key(tables):
+    silver = silver_customers(tables["crm_cust_info"], DAY).withColumn("cust_key", F.trim("cust_key"))
+    assert found(clean(tables["crm_cust_info"], DAY)) == found(silver)
+
+
+def test_other_text_is_trimmed_and_the_rest_kept(frame):
+    df = frame([(" a ", 1, DAY), (" a ", 1, DAY)], "cid STRING, n INT, bdate DATE")
+    assert found(clean(df)) == [("a", 1, DAY)] * 2
+
+
+def test_rules_can_be_replaced(frame):
+    rules = [(lambda f: f.name == "n", lambda f, as_of: [(F.col(f.name) + 1).alias(f.name)])]
+    assert found(clean(frame([(1, " x ")], "n INT, s STRING"), rules=rules)) == [(2, " x ")]
+
+
+def test_layer(warehouse, tables):
+    for t, df in tables.items():
+        warehouse.overwrite(BRONZE, t, df)
+    warehouse.overwrite(BRONZE, "load_audit", tables["erp_loc_a101"])  # not an extract
+    cleaned = clean_layer(warehouse, BRONZE, DAY)
+    assert set(cleaned) == set(EXTRACTS)
+    assert cleaned["crm_cust_info"].columns[-1] == "cust_is_future"

@@ -1,8 +1,7 @@
 import datetime as dt
 
 from smelter.functions.keys import pseudonym
-from smelter.plans.gold import dim_customers, dim_products, fact_sales, gold_layer, sales_by_country_and_category
-from smelter.plans.silver import silver_layer
+from smelter.plans.gold import dim_customers, dim_products, fact_sales, sales_by_country_and_category
 
 DAY = dt.date(2013, 1, 1)
 
@@ -11,8 +10,7 @@ def found(df, *columns):
     return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=str)
 
 
-def test_star(tables):
-    gold = gold_layer(silver_layer(tables, DAY))
+def test_star(gold):
     assert found(gold["dim_customers"], "customer_key", "customer_id", "gender", "birth_date", "country") == [
         (1, 1, "Female", dt.date(1980, 2, 3), "France"),
         (2, 2, "Male", None, "Japan"),
@@ -33,8 +31,7 @@ def test_star(tables):
     )
 
 
-def test_dimension_columns(tables):
-    gold = gold_layer(silver_layer(tables, DAY))
+def test_columns(gold):
     assert gold["dim_customers"].columns == [
         "customer_key", "customer_id", "customer_number", "first_name", "last_name_hash", "marital_status", "gender",
         "birth_date", "country", "customer_create_date", "cust_is_future",
@@ -49,22 +46,20 @@ def test_dimension_columns(tables):
     ]
 
 
-def test_last_name_is_trimmed_then_hashed(tables, evaluate):
+def test_last_name_is_hashed(gold, evaluate):
     hashed = evaluate(pseudonym, ["Lee", "Ray", "Fox"], "STRING")
-    customers = silver_layer(tables, DAY)["crm_cust_info"]
-    dim = dim_customers(customers, tables["erp_cust_az12"], tables["erp_loc_a101"])
-    assert [r.last_name_hash for r in dim.orderBy("customer_key").collect()] == hashed
+    assert [r.last_name_hash for r in gold["dim_customers"].orderBy("customer_key").collect()] == hashed
 
 
-def test_repeated_erp_rows_repeat_the_customer(tables, frame):
+def test_repeated_erp_rows_repeat_the_customer(silver, frame):
     """As a left join does: 2 copies and 1 other row, times 2 locations."""
-    customers = silver_layer(tables, DAY)["crm_cust_info"]
+    customers = silver["crm_cust_info"]
     erp = frame(
         [("NASAW00000001", DAY, "Male")] * 2 + [("XXAW00000001", None, "Female"), (None, DAY, "Male")],
         "cid STRING, bdate DATE, gen STRING",
     )
     places = frame([("AW-00000001", "France"), ("A-W00000001", "Spain")], "cid STRING, cntry STRING")
-    dim = dim_customers(customers, erp, places)
+    dim = dim_customers(customers, erp, places).cache()
     assert sorted(r.customer_key for r in dim.collect()) == list(range(1, 9))
     assert found(dim.filter("customer_id = 1"), "birth_date", "country") == sorted(
         [(DAY, "France")] * 2 + [(DAY, "Spain")] * 2 + [(None, "France"), (None, "Spain")], key=str
@@ -82,8 +77,8 @@ def test_versions_of_a_product(tables, frame):
         "prd_id INT, prd_key STRING, prd_nm STRING, prd_cost INT, prd_line STRING, prd_start_dt TIMESTAMP_NTZ, "
         "prd_end_dt TIMESTAMP_NTZ",
     )
-    every = dim_products(versions, tables["erp_px_cat_g1v2"])
-    current = dim_products(versions, tables["erp_px_cat_g1v2"], current_version_only=True)
+    every = dim_products(versions, tables["erp_px_cat_g1v2"]).cache()
+    current = dim_products(versions, tables["erp_px_cat_g1v2"], current_version_only=True).cache()
     assert found(every, "product_key", "product_id", "product_cost", "product_line", "category") == [
         (1, 1, 0, None, "Accessories"), (2, 2, 5, "Custom", "Accessories"), (3, 3, 6, "Mountain", None),
     ]

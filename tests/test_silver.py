@@ -1,7 +1,7 @@
 import datetime as dt
 
 from smelter.plans.profiles import CI, PRODUCTION
-from smelter.plans.silver import silver_customers, silver_layer, silver_products, silver_sales
+from smelter.plans.silver import silver_customers, silver_products, silver_sales
 from smelter.schemas import EXTRACTS
 
 DAY, LATER = dt.date(2013, 1, 1), dt.date(2014, 1, 1)
@@ -20,7 +20,7 @@ def test_customers(frame):
             (None, "AW9", "No", "Id", "M", "M", DAY),
             (2, "AW2", None, None, None, "x", None),
         ],
-        EXTRACTS["crm_cust_info"].ddl,
+        EXTRACTS["crm_cust_info"].schema,
     )
     assert found(silver_customers(df, as_of=DAY)) == [
         (1, "AW1 ", "Anna", "Lee-Ray", "Single", "Female", LATER, 1),
@@ -38,7 +38,7 @@ PRODUCTS = [
 
 
 def test_products_in_production(frame):
-    df = frame(PRODUCTS, EXTRACTS["crm_prd_info"].ddl)
+    df = frame(PRODUCTS, EXTRACTS["crm_prd_info"].schema)
     assert found(silver_products(df, PRODUCTION)) == [
         (1, "AC-HE-P1", "New", 0, "Road", START, None),
         (2, "AC-HE-P2", "Two", 0, "Custom", START, AFTER),
@@ -47,7 +47,7 @@ def test_products_in_production(frame):
 
 
 def test_products_in_ci(frame):
-    df = frame(PRODUCTS, EXTRACTS["crm_prd_info"].ddl)
+    df = frame(PRODUCTS, EXTRACTS["crm_prd_info"].schema)
     assert found(silver_products(df, CI)) == sorted(
         [
             (1, " AC-HE-P1 ", "Old", 5, "R", BEFORE, None),
@@ -66,14 +66,13 @@ def test_sales_need_a_product_and_a_customer(frame):
     sale = lambda n, number, customer: (n, number, customer, 1, 2, 3, 4, 5, 6)
     sales = frame(
         [sale("a", "P1", 7), sale("b", "P2", 8), sale("c", "P9", 7), sale("d", "P1", 9), sale("e", "P1", None)],
-        EXTRACTS["crm_sales_details"].ddl,
+        EXTRACTS["crm_sales_details"].schema,
     )
     assert [r[0] for r in found(silver_sales(sales, products, customers))] == ["a", "b"]
     # CI repeats a sale for each version of its product
     assert [r[0] for r in found(silver_sales(sales, products, customers, CI))] == ["a", "a", "b"]
 
 
-def test_all_six_tables(tables):
-    silver = silver_layer(tables, DAY)
+def test_all_six_tables(tables, silver):
     assert set(silver) == set(EXTRACTS)
     assert {t: df.count() for t, df in silver.items()} == {t: df.count() for t, df in tables.items()}
