@@ -1,30 +1,33 @@
 """Dense surrogate keys 1..n in id order, without sorting the table in one task.
 
 A plain ``row_number() OVER (ORDER BY id)`` moves all rows to a single task. Here the id axis is cut into fixed cells
-of 65,536 consecutive ids, so an INT id has at most 65,537 cells (one for NULL), whatever the table's size. Keys are the
-sum of four parts, each a running total over a bounded or hash-split group:
+of 65,536 consecutive ids, so INT ids have at most 65,537 cells (one for NULL), whatever the table's size:
 
-    rows in earlier cells            one task, at most 65,537 rows, then broadcast
-    + rows of earlier splits         within the cell, ordered by id and split
-    + rows before this one           within (id, split)
-    + 1
+1. Count the rows per cell. Partial counts are added up before the shuffle, and the running total over at most 65,537
+   counts is small enough for one task and for a broadcast.
+2. Number the rows within their cell. One shuffle moves each row once; a cell of unique ids has 65,536 rows at most.
+3. A cell over ``CELL_LIMIT`` rows has ids that repeat. Only there, rows are shuffled by id and by a hash of their
+   content, so that one id holding a third of the table is spread over thousands of groups. The running total over
+   the group sizes then gives each group's first number.
 
-A *split* is a hash of the row's content. It spreads the rows of one much-repeated id over many groups; rows of equal
-id may be numbered in any order, so the result is still the literal one up to ties. Copies of one row can be handed in
-as a count (``collapse_copies``), which is cut into chunks that land in different splits.
+Rows of equal id may be numbered in any order, so the result is the literal one up to ties. Copies of one row can be
+handed in as a count (``collapse_copies``); it is cut into chunks, which step 3 spreads in the same way.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CELL_BITS = 16
+CELL_LIMIT = 4 * 65536
 SPLITS = 4096
 CHUNK = 65536
 NULL_SLOT = -(2**31) - 1  # sorts before every INT
 
+GROUP = ["_cell", "_hot_slot", "_split"]
+
 
 def collapse_copies(df: DataFrame, count_column: str) -> DataFrame:
     """Distinct rows with their number of copies; the partial count runs before the shuffle."""
@@ -35,28 +38,23 @@ def surrogate_key(df: DataFrame, id_column: str, key_column: str, copies: str |
     """Add ``key_column``: 1..n by ascending ``id_column``, NULL first.
 
     ``copies`` names a column with the number of copies that each row stands for; the result has them all, numbered,
-    without that column. The frame is evaluated twice, so it must give the same rows each time.
+    without that column. The frame is evaluated more than once, so it must give the same rows each time.
     """
     if not isinstance(df.schema[id_column].dataType, T.ByteType | T.ShortType | T.IntegerType):
         raise TypeError(f"{id_column} must be an INT: its range bounds the number of cells")
     payload = [c for c in df.columns if c != copies]
-    rows = _chunked(df, payload, copies).select(
-        *payload,
-        "_chunk",
-        "_rows",
-        F.coalesce(F.col(id_column).cast("bigint"), F.lit(NULL_SLOT)).alias("_slot"),
-        F.pmod(F.xxhash64(*payload, "_chunk"), F.lit(SPLITS)).cast("int").alias("_split"),
-    )
+    placed = _placed(_chunked(df, payload, copies), payload, id_column)
 
-    group = Window.partitionBy("_slot", "_split").orderBy(*payload, "_chunk")
-    numbered = rows.withColumn("_offset", _before("_rows", group)).join(_group_starts(rows), ["_slot", "_split"])
-    first = F.col("_start") + F.col("_offset") + 1
+    rank = Window.partitionBy(*GROUP).orderBy("_slot", *payload, "_chunk")
+    numbered = placed.withColumn("_offset", _before("_rows", rank)).join(_hot_group_starts(placed), GROUP, "left")
+    first = F.col("_cells_before") + F.coalesce("_groups_before", F.lit(0)) + F.col("_offset") + 1
     if copies is None:
         return numbered.select(*payload, first.alias(key_column))
     return numbered.select(*payload, F.explode(F.sequence(first, first + F.col("_rows") - 1)).alias(key_column))
 
 
 def _chunked(df: DataFrame, payload: list[str], copies: str | None) -> DataFrame:
+    """Rows with a weight of at most ``CHUNK`` copies each."""
     if copies is None:
         return df.select(*payload, F.lit(0).cast("bigint").alias("_chunk"), F.lit(1).cast("bigint").alias("_rows"))
     n = F.col(copies).cast("bigint")
@@ -66,23 +64,37 @@ def _chunked(df: DataFrame, payload: list[str], copies: str | None) -> DataFrame
     return chunks.select(*payload, "_chunk", F.least(F.lit(CHUNK).cast("bigint"), rest).alias("_rows"))
 
 
-def _before(size: str, window: Window):
-    return F.sum(size).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(size)
-
-
-def _group_starts(rows: DataFrame) -> DataFrame:
-    """Rows before each (id, split) group."""
-    groups = (
-        rows.withColumn("_cell", F.shiftright("_slot", CELL_BITS))
-        .groupBy("_cell", "_slot", "_split")
-        .agg(F.sum("_rows").alias("_size"))
+def _placed(rows: DataFrame, payload: list[str], id_column: str) -> DataFrame:
+    """Rows with their group: the cell, or in a hot cell the id and its split."""
+    slot = F.coalesce(F.col(id_column).cast("bigint"), F.lit(NULL_SLOT))
+    rows = rows.select("*", slot.alias("_slot"), F.shiftright(slot, CELL_BITS).alias("_cell"))
+    # At most 65,537 rows, one per cell of the INT range: hence one task, and a broadcast, are safe here.
+    cells = rows.groupBy("_cell").agg(F.sum("_rows").alias("_cell_size"))
+    cells = cells.select(
+        "_cell",
+        (F.col("_cell_size") > CELL_LIMIT).alias("_hot"),
+        _before("_cell_size", Window.orderBy("_cell")).alias("_cells_before"),
     )
-    # At most 65,537 rows: one per cell of the INT range. Hence one task, and a broadcast, are safe here.
-    cells = groups.groupBy("_cell").agg(F.sum("_size").alias("_cell_size"))
-    cells = cells.select("_cell", _before("_cell_size", Window.orderBy("_cell")).alias("_cells_before"))
-    in_cell = _before("_size", Window.partitionBy("_cell").orderBy("_slot", "_split"))
-    return (
-        groups.withColumn("_in_cell", in_cell)
-        .join(F.broadcast(cells), "_cell")
-        .select("_slot", "_split", (F.col("_cells_before") + F.col("_in_cell")).alias("_start"))
+    split = F.pmod(F.xxhash64(*payload, "_chunk"), F.lit(SPLITS))
+    return rows.join(F.broadcast(cells), "_cell").select(
+        *payload,
+        "_chunk",
+        "_rows",
+        "_slot",
+        "_cell",
+        "_cells_before",
+        F.when(F.col("_hot"), F.col("_slot")).alias("_hot_slot"),
+        F.when(F.col("_hot"), split).alias("_split"),
     )
+
+
+def _hot_group_starts(placed: DataFrame) -> DataFrame:
+    """Rows of the same cell before each group of a hot cell; empty if ids hardly repeat."""
+    groups = placed.filter(F.col("_split").isNotNull()).groupBy(*GROUP).agg(F.sum("_rows").alias("_size"))
+    order = Window.partitionBy("_cell").orderBy("_hot_slot", "_split")
+    return groups.select(*GROUP, _before("_size", order).alias("_groups_before"))
+
+
+def _before(size: str, window: Window) -> Column:
+    """Running total of a size, without the current row's own."""
+    return F.sum(size).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(size)

@@ -61,22 +61,28 @@ def query(f: Query) -> Query:
 # ---- building blocks -----------------------------------------------------------------------------------------
 
 
-def _silver(spark: SparkSession, sf_dir: str, profile: Profile = PRODUCTION) -> dict[str, DataFrame]:
-    customers = silver.silver_customers(source(spark, sf_dir, "crm_cust_info"), FLAG_DATE, TIE)
-    products = silver.silver_products(source(spark, sf_dir, "crm_prd_info"), profile)
-    sales = silver.silver_sales(source(spark, sf_dir, "crm_sales_details"), products, customers, profile)
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.silver_customers(source(spark, sf_dir, "crm_cust_info"), FLAG_DATE, TIE)
+
+
+def _products(spark: SparkSession, sf_dir: str, profile: Profile = PRODUCTION) -> DataFrame:
+    return silver.silver_products(source(spark, sf_dir, "crm_prd_info"), profile)
+
+
+def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    customers, products = _customers(spark, sf_dir), _products(spark, sf_dir)
+    sales = silver.silver_sales(source(spark, sf_dir, "crm_sales_details"), products, customers)
     erp = {t: silver.silver_passthrough(source(spark, sf_dir, t), t) for t in ERP}
     return {"crm_cust_info": customers, "crm_prd_info": products, "crm_sales_details": sales, **erp}
 
 
 def _dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _silver(spark, sf_dir)
-    return gold.dim_customers(tables["crm_cust_info"], tables["erp_cust_az12"], tables["erp_loc_a101"])
+    erp = [source(spark, sf_dir, t) for t in ("erp_cust_az12", "erp_loc_a101")]
+    return gold.dim_customers(_customers(spark, sf_dir), *erp)
 
 
-def _dim_products(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    tables = _silver(spark, sf_dir, options.pop("profile", PRODUCTION))
-    return gold.dim_products(tables["crm_prd_info"], tables["erp_px_cat_g1v2"], **options)
+def _dim_products(spark: SparkSession, sf_dir: str, profile: Profile = PRODUCTION, current: bool = False) -> DataFrame:
+    return gold.dim_products(_products(spark, sf_dir, profile), source(spark, sf_dir, "erp_px_cat_g1v2"), current)
 
 
 def _warehouse(spark: SparkSession, label: str) -> Warehouse:
@@ -160,7 +166,7 @@ def silver_append(spark, sf_dir):
 def schema_evolve(spark, sf_dir):
     """Customers stored before the flag column existed read as 0; those added later carry their own flag."""
     warehouse = _warehouse(spark, "evolve")
-    customers = _silver(spark, sf_dir)["crm_cust_info"].select("cust_id", "cust_create_date", FUTURE_COLUMN)
+    customers = _customers(spark, sf_dir).select("cust_id", "cust_create_date", FUTURE_COLUMN)
     warehouse.overwrite(SILVER, "crm_cust_info", customers.drop(FUTURE_COLUMN))
     warehouse.add_column(SILVER, "crm_cust_info", FUTURE_COLUMN, "INT", "0")
     warehouse.append(SILVER, "crm_cust_info", customers, customers.columns)
@@ -227,7 +233,7 @@ def fact_dates(spark, sf_dir):
 
 @query
 def source_priority(spark, sf_dir):
-    customers = silver.silver_customers(source(spark, sf_dir, "crm_cust_info"), FLAG_DATE, TIE)
+    customers = _customers(spark, sf_dir)
     demographics = source(spark, sf_dir, "erp_cust_az12")
     erp = demographics.select(customer_key_of_suffix(F.col("cid")).alias("cust_key"), "gen")
     return customers.join(erp, "cust_key", "left").select(
@@ -310,7 +316,7 @@ def generic_clean_layer(spark, sf_dir):
 @query
 def top_customers(spark, sf_dir):
     """The ten customers of lowest id, in id order."""
-    customers = silver.silver_customers(source(spark, sf_dir, "crm_cust_info"), FLAG_DATE, TIE)
+    customers = _customers(spark, sf_dir)
     columns = ["cust_id", "cust_firstname", "cust_lastname", "cust_gender", FUTURE_COLUMN]
     return customers.select(*columns).orderBy("cust_id").limit(10)
 
@@ -320,17 +326,17 @@ def top_customers(spark, sf_dir):
 
 @query
 def silver_customers(spark, sf_dir):
-    return silver.silver_customers(source(spark, sf_dir, "crm_cust_info"), FLAG_DATE, TIE)
+    return _customers(spark, sf_dir)
 
 
 @query
 def silver_products(spark, sf_dir):
-    return silver.silver_products(source(spark, sf_dir, "crm_prd_info"))
+    return _products(spark, sf_dir)
 
 
 @query
 def silver_products_ci(spark, sf_dir):
-    return silver.silver_products(source(spark, sf_dir, "crm_prd_info"), CI)
+    return _products(spark, sf_dir, CI)
 
 
 @query
@@ -340,7 +346,8 @@ def silver_sales(spark, sf_dir):
 
 @query
 def silver_sales_ci(spark, sf_dir):
-    return _silver(spark, sf_dir, CI)["crm_sales_details"]
+    sales = source(spark, sf_dir, "crm_sales_details")
+    return silver.silver_sales(sales, _products(spark, sf_dir, CI), _customers(spark, sf_dir), CI)
 
 
 # ---- gold ----------------------------------------------------------------------------------------------------
@@ -368,15 +375,16 @@ def dim_products_ci(spark, sf_dir):
 
 @query
 def dim_products_current(spark, sf_dir):
-    return _dim_products(spark, sf_dir, current_version_only=True)
+    return _dim_products(spark, sf_dir, current=True)
 
 
 def _star(spark: SparkSession, sf_dir: str, current: bool = False) -> dict[str, DataFrame]:
     tables = _silver(spark, sf_dir)
-    customers = gold.dim_customers(tables["crm_cust_info"], tables["erp_cust_az12"], tables["erp_loc_a101"])
-    products = gold.dim_products(tables["crm_prd_info"], tables["erp_px_cat_g1v2"], current)
-    fact = gold.fact_sales(tables["crm_sales_details"], customers, products)
-    return {"dim_customers": customers, "dim_products": products, "fact_sales": fact}
+    star = gold.gold_layer(tables)
+    if current:
+        star["dim_products"] = gold.dim_products(tables["crm_prd_info"], tables["erp_px_cat_g1v2"], True)
+        star["fact_sales"] = gold.fact_sales(tables["crm_sales_details"], star["dim_customers"], star["dim_products"])
+    return star
 
 
 @query
@@ -461,13 +469,13 @@ def profile_values(spark, sf_dir):
 
 @query
 def dq_orphan_customer(spark, sf_dir):
-    customers = silver.silver_customers(source(spark, sf_dir, "crm_cust_info"), FLAG_DATE, TIE)
+    customers = _customers(spark, sf_dir)
     return k.sales_without_customer(source(spark, sf_dir, "crm_sales_details"), customers)
 
 
 @query
 def dq_orphan_product(spark, sf_dir):
-    products = silver.silver_products(source(spark, sf_dir, "crm_prd_info"))
+    products = _products(spark, sf_dir)
     return k.sales_without_product(source(spark, sf_dir, "crm_sales_details"), products)
 
 
@@ -484,8 +492,11 @@ def dq_suite_silver(spark, sf_dir):
 @query
 def dq_gold_keys(spark, sf_dir):
     """Repeated keys of both dimensions: none."""
-    checks = quality.gold_checks(**_gold_arguments(_star(spark, sf_dir)))
-    return _records({"dim_customers": checks["customer_key"], "dim_products": checks["product_key"]})
+    repeated = {
+        "dim_customers": k.repeated_keys(_dim_customers(spark, sf_dir), "customer_key", null_breaks=False),
+        "dim_products": k.repeated_keys(_dim_products(spark, sf_dir), "product_key", null_breaks=False),
+    }
+    return _records(repeated)
 
 
 @query
@@ -497,21 +508,19 @@ def dq_gold_product_number(spark, sf_dir):
 @query
 def dq_gold_ref(spark, sf_dir):
     """Facts that miss a dimension: none, as the fact is an inner join of them."""
-    return quality.gold_checks(**_gold_arguments(_star(spark, sf_dir)))["fact_connected"]
+    star = _star(spark, sf_dir)
+    checks = quality.gold_checks(star["dim_customers"], star["dim_products"], star["fact_sales"])
+    return checks["fact_connected"]
 
 
 @query
 def dq_gold_ref_current(spark, sf_dir):
     """The same check against current product versions only, which facts of older versions miss."""
     star = _star(spark, sf_dir)
-    current = _dim_products(spark, sf_dir, current_version_only=True)
+    current = _dim_products(spark, sf_dir, current=True)
     return k.disconnected_facts(star["fact_sales"], star["dim_customers"], current)
 
 
-def _gold_arguments(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {"customers": star["dim_customers"], "products": star["dim_products"], "fact": star["fact_sales"]}
-
-
 def _gate(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
     """The gate over stored tables, as a run leaves them."""
     warehouse = _store_bronze(spark, sf_dir, f"gate_{profile.name}")

@@ -33,7 +33,9 @@ def test_equals_the_literal_window_over_many_cells(spark):
     assert got.count() == 50_000
 
 
-def test_repeated_ids_get_dense_keys_within_the_literal_span(spark):
+@pytest.mark.parametrize("limit", [100, 100_000])
+def test_repeated_ids_get_dense_keys_within_the_literal_span(spark, monkeypatch, limit):
+    monkeypatch.setattr(surrogate, "CELL_LIMIT", limit)  # the table's one cell is hot, or not
     # a third of the rows hold one id
     df = spark.range(9_000).select(
         F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000).cast("int").alias("id"),
@@ -45,8 +47,10 @@ def test_repeated_ids_get_dense_keys_within_the_literal_span(spark):
     assert got.select("id", "v").exceptAll(df).count() == 0
 
 
-def test_copies_are_counted_cut_into_chunks_and_restored(spark, monkeypatch):
+@pytest.mark.parametrize("limit", [100, 100_000])
+def test_copies_are_counted_cut_into_chunks_and_restored(spark, monkeypatch, limit):
     monkeypatch.setattr(surrogate, "CHUNK", 16)
+    monkeypatch.setattr(surrogate, "CELL_LIMIT", limit)
     df = spark.range(2_000).select(
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 40).cast("int").alias("id"),
         F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise((F.col("id") % 4).cast("string")).alias("v"),
@@ -58,6 +62,25 @@ def test_copies_are_counted_cut_into_chunks_and_restored(spark, monkeypatch):
     assert got.select("id", "v").exceptAll(df).count() == 0
 
 
+def test_hot_and_ordinary_cells_side_by_side(spark, monkeypatch):
+    monkeypatch.setattr(surrogate, "CELL_LIMIT", 1_000)
+    n = F.col("id")
+    hot = [F.when(n % 5 == 0, F.lit(None)).when(n % 5 == 1, 70_000), F.when(n % 5 == 2, 70_001)]
+    df = spark.range(12_000).select(F.coalesce(*hot, (n * 613 - 3_000_000)).cast("int").alias("id"), n.alias("v"))
+    df = df.withColumn("id", F.when(F.col("v") % 5 != 0, F.col("id")))  # a fifth of the ids are NULL
+    got = surrogate_key(df, "id", "k").cache()
+    assert [r.k for r in got.select("k").orderBy("k").collect()] == list(range(1, 12_001))
+    assert spans(got) == spans(literal(df, "id"))
+
+
+def test_a_hot_id_is_spread_over_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(surrogate, "CELL_LIMIT", 1_000)
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 9).otherwise(F.col("id")).cast("int").alias("id"), F.col("id").alias("v"))
+    rows = surrogate._chunked(df, ["id", "v"], None)
+    sizes = surrogate._placed(rows, ["id", "v"], "id").groupBy(*surrogate.GROUP).count()
+    assert sizes.agg(F.max("count")).first()[0] < 30
+
+
 def test_all_ids_null(frame):
     df = frame([(None, "a"), (None, "b")], "id INT, v STRING")
     assert sorted(r.k for r in surrogate_key(df, "id", "k").collect()) == [1, 2]
