@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from smelter.plans.profiles import PRODUCTION, Profile
 from smelter.plans.quality import gate, verdict
 from smelter.plans.silver import silver_customers, silver_passthrough, silver_products, silver_sales
 from smelter.schemas import BRONZE, EXTRACTS, GOLD, GOLD_OBJECTS, LAYERS, SILVER
+from smelter.session import run_together
 from smelter.sources.tables import Warehouse, with_load_time
 
 ORDER_YEAR = "order_year"
@@ -33,24 +35,28 @@ def build_silver(
 ) -> None:
     """Replace the six silver tables. Sales are matched against the silver tables just written, not against plans."""
     bronze = {t: warehouse.read(BRONZE, t) for t in EXTRACTS}
+    tables = {
+        "crm_cust_info": silver_customers(bronze["crm_cust_info"], as_of),
+        "crm_prd_info": silver_products(bronze["crm_prd_info"], profile),
+        **{t: silver_passthrough(bronze[t], t) for t in ("erp_cust_az12", "erp_loc_a101", "erp_px_cat_g1v2")},
+    }
 
-    def store(table: str, df: DataFrame) -> DataFrame:
+    def store(table: str, df: DataFrame) -> None:
         warehouse.overwrite(SILVER, table, with_load_time(df, loaded_at))
-        return warehouse.read(SILVER, table)
 
-    customers = store("crm_cust_info", silver_customers(bronze["crm_cust_info"], as_of))
-    products = store("crm_prd_info", silver_products(bronze["crm_prd_info"], profile))
+    run_together(warehouse.spark, [partial(store, t, df) for t, df in tables.items()])
+    products, customers = warehouse.read(SILVER, "crm_prd_info"), warehouse.read(SILVER, "crm_cust_info")
     store("crm_sales_details", silver_sales(bronze["crm_sales_details"], products, customers, profile))
-    for table in ("erp_cust_az12", "erp_loc_a101", "erp_px_cat_g1v2"):
-        store(table, silver_passthrough(bronze[table], table))
 
 
 def build_gold(warehouse: Warehouse) -> None:
     """Replace the gold tables: dimensions first, so the fact reads their keys; the fact in a folder per order year."""
     silver = {t: warehouse.read(SILVER, t) for t in EXTRACTS}
-    customers = dim_customers(silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"])
-    warehouse.overwrite(GOLD, "dim_customers", customers)
-    warehouse.overwrite(GOLD, "dim_products", dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"]))
+    dimensions = {
+        "dim_customers": dim_customers(silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"]),
+        "dim_products": dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"]),
+    }
+    run_together(warehouse.spark, [partial(warehouse.overwrite, GOLD, t, df) for t, df in dimensions.items()])
     fact = fact_sales(
         silver["crm_sales_details"], warehouse.read(GOLD, "dim_customers"), warehouse.read(GOLD, "dim_products")
     )

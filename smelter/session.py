@@ -1,10 +1,13 @@
-"""Where a job may leave files that every executor can read."""
+"""What a run needs of its session: a folder that every executor can read, and jobs that run side by side."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -27,3 +30,15 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def run_together(spark: SparkSession, jobs: Iterable[Callable[[], object]]) -> None:
+    """Run independent Spark jobs at the same time, so that small ones fill the executors that large ones leave idle.
+
+    Waits for all of them; then the first error, if any, is raised.
+    """
+    target = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        futures = [pool.submit(target(job)) for job in jobs]
+    for future in futures:
+        future.result()

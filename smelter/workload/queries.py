@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +38,7 @@ from smelter.plans import bronze as load
 from smelter.plans import generic, gold, pipeline, quality, silver
 from smelter.plans.profiles import CI, PRODUCTION, Profile
 from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, FUTURE_COLUMN, SILVER, silver_schema
-from smelter.session import new_folder
+from smelter.session import new_folder, run_together
 from smelter.sources.extracts import write_extract
 from smelter.sources.tables import Warehouse
 from smelter.workload.adapters import TIE, source, sources
@@ -99,8 +99,8 @@ def _declared(df: DataFrame, table: str) -> DataFrame:
 
 def _store_bronze(spark: SparkSession, sf_dir: str, label: str) -> Warehouse:
     warehouse = _warehouse(spark, label)
-    for table, df in sources(spark, sf_dir).items():
-        warehouse.overwrite(BRONZE, table, _declared(df, table))
+    tables = {t: _declared(df, t) for t, df in sources(spark, sf_dir).items()}
+    run_together(spark, [partial(warehouse.overwrite, BRONZE, t, df) for t, df in tables.items()])
     return warehouse
 
 
@@ -122,8 +122,8 @@ def _records(tables: dict[str, DataFrame]) -> DataFrame:
 def _load_from_csv(spark: SparkSession, sf_dir: str, label: str) -> tuple[Warehouse, DataFrame]:
     warehouse = _warehouse(spark, label)
     base_path = new_folder(spark, f"{label}_extracts")
-    for table, df in sources(spark, sf_dir).items():
-        write_extract(_declared(df, table), table, base_path)
+    tables = {t: _declared(df, t) for t, df in sources(spark, sf_dir).items()}
+    run_together(spark, [partial(write_extract, df, t, base_path) for t, df in tables.items()])
     return warehouse, load.load_bronze(warehouse, base_path)
 
 
