@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,8 @@ AUDIT_SCHEMA = columns_of(
     rows_rejected=T.LongType(),
     status=T.StringType(),
     error=T.StringType(),
+    error_condition=T.StringType(),
+    error_state=T.StringType(),
 )
 REJECTS_SCHEMA = columns_of(batch_id=T.StringType(), table_name=T.StringType(), reason=T.StringType(), record=T.StringType())
 LOADED, FAILED = "LOADED", "FAILED"
@@ -85,15 +88,15 @@ def load_bronze(
         try:
             loaded, rejects = load_table(warehouse, table, base_path, batch_id, max_errors)
         except Exception as error:  # whatever stopped the load belongs in the audit
-            entries.append((batch_id, table, start, _now(), 0, 0, FAILED, str(error)))
+            entries.append((batch_id, table, start, _now(), 0, 0, FAILED, *_described(error)))
             failure = failure or (table, error)
             if on_error == "raise":
                 break
         else:
-            entries.append((batch_id, table, start, _now(), loaded, rejects, LOADED, None))
+            entries.append((batch_id, table, start, _now(), loaded, rejects, LOADED, None, None, None))
             total = [total[0] + loaded, total[1] + rejects]
     status = FAILED if failure else LOADED
-    entries.append((batch_id, BATCH, batch_start, _now(), *total, status, None))
+    entries.append((batch_id, BATCH, batch_start, _now(), *total, status, None, None, None))
     audit = warehouse.spark.createDataFrame(entries, AUDIT_SCHEMA)
     warehouse.append(BRONZE, AUDIT_TABLE, audit, audit.columns)
     if failure and on_error == "raise":
@@ -109,5 +112,12 @@ def load_audit(warehouse: Warehouse, batch_id: str | None = None) -> DataFrame:
     return audit.withColumn("seconds", F.timestamp_diff("SECOND", "started_at", "ended_at"))
 
 
+def _described(error: Exception) -> tuple[str, str | None, str | None]:
+    """Message, condition and SQL state; other errors than Spark's have their type for a condition."""
+    if isinstance(error, PySparkException):
+        return str(error), error.getCondition(), error.getSqlState()
+    return str(error), type(error).__name__, None
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)

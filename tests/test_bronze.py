@@ -84,6 +84,7 @@ def test_too_many_broken_rows_fail_and_leave_the_table_empty(warehouse, folder):
     audit = audit_rows(load_audit(warehouse))
     assert audit["erp_cust_az12"][2] == "FAILED" and audit["*"][2] == "FAILED"
     assert "erp_loc_a101" not in audit  # the load stopped
+    assert load_audit(warehouse).filter("error_condition = 'TooManyRejects'").count() == 1
     assert rows(warehouse, "erp_cust_az12") == []
     assert warehouse.read(BRONZE, "load_rejects").count() == 2
 
@@ -94,7 +95,9 @@ def test_missing_file_is_recorded_and_the_rest_loaded(warehouse, folder):
     assert got["crm_sales_details"] == (0, 0, "FAILED")
     assert got["erp_px_cat_g1v2"] == (1, 0, "LOADED")
     assert got["*"] == (8, 0, "FAILED")
-    assert "PATH_NOT_FOUND" in audit.filter("status = 'FAILED' AND table_name <> '*'").first().error
+    failed = audit.filter("status = 'FAILED' AND table_name <> '*'").first()
+    assert "sales_details" in failed.error
+    assert (failed.error_condition, failed.error_state) == ("PATH_NOT_FOUND", "42K03")
 
 
 def test_on_error_is_checked(warehouse, folder):
