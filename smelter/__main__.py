@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m`` style entry, ``python -m smelter --base-path datasets``."""
+"""Command line: ``python -m smelter --base-path extracts``."""
 
 from __future__ import annotations
 
