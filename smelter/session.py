@@ -2,29 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, and where that is unset a folder in the warehouse.
 
-    A local session without that setting gets a new temporary folder; a cluster without it is an error, since a
-    machine-local folder would be lost with its executor.
+    Both are places that the driver and all executors share; the rule doesn't ask where the session runs.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("smelter.shared.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("smelter.shared.dir", folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -42,3 +35,10 @@ def run_together(spark: SparkSession, jobs: Iterable[Callable[[], object]]) -> N
         futures = [pool.submit(target(job)) for job in jobs]
     for future in futures:
         future.result()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, also where it is not installed."""
+    context = spark.sparkContext
+    if not any(name.rstrip("/").endswith("/smelter") for name in context.listFiles):
+        context.addFile(str(Path(__file__).resolve().parent), recursive=True)
