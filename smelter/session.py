@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -38,7 +40,8 @@ def run_together(spark: SparkSession, jobs: Iterable[Callable[[], object]]) -> N
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package, also where it is not installed."""
+    """Let Python workers import this package, also where it is not installed; Spark hands out the archive itself."""
     context = spark.sparkContext
-    if not any(name.rstrip("/").endswith("/smelter") for name in context.listFiles):
-        context.addFile(str(Path(__file__).resolve().parent), recursive=True)
+    if not any(name.endswith("/smelter.zip") for name in context.listFiles):
+        root = Path(__file__).resolve().parents[1]
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='run-')}/smelter", "zip", root, "smelter"))
