@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from smelter.llm.ngram_join import jaccard_components
+from smelter.llm.packing import pack
 from smelter.llm.shared import table
+from smelter.llm.token_counts import token_counts
 
 
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, p=85, q=100)
 
 
+def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", limit=512)
+
+
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), "word_bpe_49k.json", capacity=2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
+    "op6_token_counts": count_tokens,
+    "op10_packing": packing,
 }
