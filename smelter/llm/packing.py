@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,7 +86,7 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int =
         raise ValueError("a piece has at least one token and at most the capacity; a group at least one window")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = memory(tokenizer, "ids", lambda ids: np.array(ids, dtype="<u4").tobytes()).of
+        ids_of = memory(tokenizer, "ids", lambda ids: array("I", ids).tobytes()).of
         end = np.array([END], dtype="<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []

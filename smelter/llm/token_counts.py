@@ -27,7 +27,7 @@ def prefix_table(text: bytes, tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
     """Ends of the pieces in bytes, and the token count of the text up to each."""
     pieces = units(text)
     counts = memory(tokenizer, "count", len).of(pieces)
-    return np.cumsum([len(x) for x in pieces], dtype=np.int64), np.cumsum(counts, dtype=np.int64)
+    return np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), np.cumsum(np.fromiter(counts, np.int64, len(pieces)))
 
 
 def tokens_up_to(text: bytes, place: int, table: tuple[np.ndarray, np.ndarray], tokenizer: str) -> int:
@@ -35,7 +35,7 @@ def tokens_up_to(text: bytes, place: int, table: tuple[np.ndarray, np.ndarray],
     ends, counts = table
     at = int(np.searchsorted(ends, place, "right"))
     start, before = (int(ends[at - 1]), int(counts[at - 1])) if at else (0, 0)
-    return before + (memory(tokenizer, "count", len).of([text[start:place]])[0] if place > start else 0)
+    return before + (sum(memory(tokenizer, "count", len).of([text[start:place]])) if place > start else 0)
 
 
 def token_prefixes(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
