@@ -11,6 +11,7 @@ from smelter.llm.mixing import repetitions
 from smelter.llm.ngram_join import jaccard_components
 from smelter.llm.packing import pack
 from smelter.llm.quality_rules import quality
+from smelter.llm.scoring import score
 from smelter.llm.shared import table
 from smelter.llm.sharding import shard_documents
 from smelter.llm.token_counts import token_counts
@@ -36,6 +37,10 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetitions(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))
+
+
 def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", limit=512)
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": sharding,
     "op3_web_archive": web_archive,
     "op4_mixing": mixing,
+    "op5_lm_scoring": lm_scoring,
     "op6_token_counts": count_tokens,
     "op7_url_filters": url_filters,
     "op8_top_k": top_k_search,
