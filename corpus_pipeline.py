@@ -1,13 +1,66 @@
-"""The corpus pipeline: quality rules, near duplicates, mixing, packing."""
+"""The corpus pipeline: quality rules, near duplicates, mixing to target weights, packing into windows.
+
+Every stage takes the documents that the one before it kept, as a table written and read again, and works on all of them.
+Stages before the last return the columns of ``documents``, whatever else a table has.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from smelter.llm.mixing import mix
+from smelter.llm.ngram_join import jaccard_components
+from smelter.llm.packing import pack
+from smelter.llm.quality_rules import kept_documents
+from smelter.llm.shared import free_names, small_side, stored
+from smelter.session import new_folder
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return kept_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id: five words, 0.8.
+
+    A document without id is in no group and stays. Of rows that repeat an id, all stay if the id does.
+    """
+    (node,) = free_names(docs, "group_node")
+    groups = jaccard_components(docs, width=5, p=80, q=100).filter("doc_id <> component_id")
+    others = stored(groups.select(F.col("doc_id").alias(node)).distinct(), "others")
+    return docs.join(small_side(others), docs["doc_id"] == others[node], "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's rate says."""
+    return mix(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Windows of 2048 tokens."""
+    return pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: SQL can't express the components of the second stage over whole tables, nor the tokenizer of the last.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written as Parquet to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = new_folder(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -57,8 +57,9 @@ def described(docs: DataFrame) -> DataFrame:
     # The rest are bytes after a character's first, white space, symbols, and all other characters in words.
     classes += [(F.octet_length("text") - F.char_length("text")).cast("long"), F.char_length("text") - F.col("word_chars"), F.col("n_symbols")]
     words = [_occurrences(w) for w in COMMON]
+    keys = [k.alias(name) for k, name in zip(_keys(F.col("text"), F.col("lang")), ("text_key", "text_key_2"), strict=True)]
     return rows.select(
-        "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        *keys, "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         _with_rest(classes, F.char_length("text").cast("long")).alias("classes"), _with_rest(words, F.col("n_words")).alias("common"),
     )
 
@@ -128,14 +129,36 @@ def distance(a: Column, b: Column) -> Column:
     return _bound(F.array(_total(a), _total(b)), lambda t: F.when((t[0] > 0) & (t[1] > 0), both(t)))
 
 
+def _keys(text: Column, lang: Column) -> tuple[Column, Column]:
+    text, lang = F.coalesce(text, F.lit("")), F.coalesce(F.concat(F.lit("."), lang), F.lit(""))
+    return F.xxhash64(text, lang), F.xxhash64(lang, text, F.lit(1))
+
+
 def quality(docs: DataFrame) -> DataFrame:
     """The base counts, ``base_failed`` and ``kept`` per document, and both distances."""
+    return compared(docs).drop("text_key", "text_key_2")
+
+
+def compared(docs: DataFrame) -> DataFrame:
+    """``quality``, with two hashes of text and language."""
     facts = stored(described(docs), "facts")
     language = small_side(stored(references(facts), "references"), LANGUAGES)
     joined = facts.join(language, facts["lang"].eqNullSafe(language["reference"]), "left")
-    compared = ~F.col("base_failed") & (_total(F.col("reference_common")) >= LEAST_REFERENCE)
-    by_class, by_word = (F.when(compared, distance(F.col(c), F.col(f"reference_{c}"))) for c in ("classes", "common"))
-    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    long_enough = ~F.col("base_failed") & (_total(F.col("reference_common")) >= LEAST_REFERENCE)
+    by_class, by_word = (F.when(long_enough, distance(F.col(c), F.col(f"reference_{c}"))) for c in ("classes", "common"))
+    base = ["text_key", "text_key_2", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     measured = joined.select(*base, by_class.alias("class_distance"), by_word.alias("word_distance"))
     fine = (F.coalesce("class_distance", F.lit(0.0)) <= CLASS_LIMIT) & (F.coalesce("word_distance", F.lit(0.0)) <= WORD_LIMIT)
     return measured.select(*base, (~F.col("base_failed") & fine).alias("kept"), "class_distance", "word_distance")
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The documents that the rules keep, with all their columns.
+
+    A verdict depends on text and language alone, so it is found again by two hashes of these, whatever the ids are.
+    """
+    names = list(free_names(docs, "text_key", "text_key_2"))
+    rejected = stored(compared(docs).filter(~F.col("kept")).select(F.col("text_key").alias(names[0]), F.col("text_key_2").alias(names[1])).distinct(), "rejected")
+    columns = [docs[c].cast("string") if c in docs.columns else F.lit(None).cast("string") for c in ("text", "lang")]
+    keys = _keys(*columns)
+    return docs.join(small_side(rejected), (keys[0] == rejected[names[0]]) & (keys[1] == rejected[names[1]]), "left_anti")
