@@ -1,6 +1,7 @@
 """Shards of nearly equal size, by the smallest feasible capacity over an ordered row of groups.
 
-Rows of equal text are a group, which no cut divides. The groups lie in the order of their text's hash. A capacity is
+Rows of equal text are a group, which no cut divides. The groups lie in the order of their text's hash, after the few that
+are large beside a shard. A capacity is
 feasible if cutting greedily, each shard as long as it fits, needs no more shards than given; the smallest feasible one
 is found by binary search, and the cuts are made there. Where one large group decides the capacity, the other shards share
 the rest as equally as it allows.
@@ -29,6 +30,7 @@ from smelter.llm.shared import needed, stored
 OVERHEAD = 8
 FIRST_BITS = 14
 CELLS = 1 << 17
+MOST_LARGE = 2048
 BUCKET_ROWS = 50_000
 MOST_BUCKETS = 100_000
 
@@ -50,12 +52,28 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     rows = needed(docs, {"doc_id": "long", "text": "string"}).select(
         "doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("place")
     )
-    rows = stored(rows, "sizes")
+    rows = large_first(stored(rows, "sizes"), shards)
     shard = _after(F.col("place"), cuts(rows, shards))
     law = F.lit("bytes").alias("law")
     return _numbered(rows.withColumn("shard", shard)).select("doc_id", "size", "text_crc32", law, "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def large_first(rows: DataFrame, shards: int) -> DataFrame:
+    """Move groups that fill a good part of a shard to the front, by falling size, so that the others share evenly.
+
+    Only ``MOST_LARGE`` groups can be that large, which bounds the collected and broadcast rows. All others keep the order
+    of their hash, of which 63 bits are left.
+    """
+    least = rows.agg(F.sum("size")).first()[0]
+    least = (least or 0) / (shards * max(1, MOST_LARGE // shards))
+    sums = rows.groupBy("place").agg(F.sum("size").alias("total")).filter(F.col("total") > least)
+    found = sorted((-r["total"], r["place"]) for r in sums.collect()) if shards <= MOST_LARGE else []
+    width = 1 << (64 - FIRST_BITS)
+    front = rows.sparkSession.createDataFrame([(place, -(1 << 63) + i * width) for i, (_, place) in enumerate(found)], "large long, front long")
+    joined = rows.join(F.broadcast(front), rows["place"] == front["large"], "left")
+    return joined.withColumn("place", F.coalesce("front", F.shiftright("place", 1))).drop("large", "front")
+
+
 def cuts(rows: DataFrame, shards: int) -> list[int]:
     """The hashes at which shards 1, 2, ... begin; fewer than ``shards - 1`` if that many aren't needed."""
     cells = _cells(rows, F.shiftright("place", 64 - FIRST_BITS), 64 - FIRST_BITS)

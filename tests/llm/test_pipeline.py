@@ -1,0 +1,51 @@
+import glob
+import re
+
+import pytest
+
+import corpus_pipeline
+from smelter.llm.oracles import ORACLES
+from smelter.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_keep_the_columns_and_take_effect(spark, docs, clashing):
+    current, counts = clashing(docs), []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, current, SF)
+        assert after.columns == current.columns
+        counts.append(after.count())
+        current = after
+    assert counts[0] < docs.count() and counts[1] < counts[0]
+
+
+@pytest.mark.parametrize("position", range(4))
+def test_stages_take_empty_tables(spark, no_docs, position):
+    assert corpus_pipeline.STAGES[position][1](spark, no_docs, SF).collect() == []
+
+
+def test_every_operator_has_a_query():
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.skipif(not glob.glob(f"{SF}/*.parquet"), reason="no test tables")
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    with duckdb.connect() as connection:
+        for path in glob.glob(f"{SF}/*.parquet"):
+            connection.sql(f"CREATE VIEW {path.split('/')[-1].removesuffix('.parquet')} AS SELECT * FROM '{path}'")
+        expected = connection.sql(ORACLES[name])
+        columns = sorted(expected.columns)
+        found = QUERIES[name](spark, SF)
+        assert sorted(found.columns) == columns
+        rows = sorted(map(repr, (tuple(r[c] for c in columns) for r in found.collect())))
+        assert rows == sorted(map(repr, expected.select(*columns).fetchall()))
+
+
+def test_the_pipeline_runs(spark):
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert rows and {"doc_id", "sequence_id", "offset"} <= set(rows[0].asDict())
