@@ -31,6 +31,11 @@ def product_number(prd_key: Column) -> Column:
     return F.substr(prd_key, F.lit(PRODUCT_NUMBER_START))
 
 
+def comparable(key: Column) -> Column:
+    """A text key as joins compare it: trailing blanks don't count."""
+    return F.rtrim(key)
+
+
 def pseudonym(c: Column) -> Column:
     """SHA-256 of the UTF-16LE bytes in upper-case hex."""
     return F.upper(F.sha2(F.encode(c, "UTF-16LE"), 256))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from smelter.functions.cleansing import is_untrimmed, today
 from smelter.functions.dates import is_invalid_day
-from smelter.functions.keys import product_number
+from smelter.functions.keys import comparable, product_number
 
 # Fixed value: the earliest birth date taken as real.
 EARLIEST_BIRTH = dt.date(1924, 1, 1)
@@ -97,7 +97,9 @@ def late_orders(sales: DataFrame) -> DataFrame:
 
 
 def inconsistent_triples(sales: DataFrame) -> DataFrame:
-    return sales.filter(inconsistent_sales()).select("sls_sales", "sls_quantity", "sls_price").distinct()
+    """Distinct triples, in order."""
+    triple = ["sls_sales", "sls_quantity", "sls_price"]
+    return sales.filter(inconsistent_sales()).select(*triple).distinct().orderBy(*triple)
 
 
 def odd_birth_dates(demographics: DataFrame, as_of: dt.date | None = None) -> DataFrame:
@@ -111,8 +113,8 @@ def sales_without_customer(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
 def sales_without_product(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Sales rows whose product number does not exist; those with a NULL number included."""
-    numbers = products.select(product_number(F.col("prd_key")).alias("_number"))
-    return sales.join(numbers, sales.sls_prd_key == numbers._number, "left_anti")
+    numbers = products.select(comparable(product_number(F.col("prd_key"))).alias("_number"))
+    return sales.join(numbers, comparable(sales.sls_prd_key) == numbers._number, "left_anti")
 
 
 def disconnected_facts(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import partial, reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.schemas import BRONZE, EXTRACTS, columns_of
+from smelter.session import run_together
 from smelter.sources.extracts import REASON, accepted, read_extract, rejected
 from smelter.sources.tables import Warehouse
 
@@ -30,25 +32,30 @@ AUDIT_SCHEMA = columns_of(
     error_state=T.StringType(),
 )
 REJECTS_SCHEMA = columns_of(batch_id=T.StringType(), table_name=T.StringType(), reason=T.StringType(), record=T.StringType())
-LOADED, FAILED = "LOADED", "FAILED"
+LOADED, REJECTS, FAILED = "LOADED", "REJECTS", "FAILED"
+KEEP, FAIL = "keep", "fail"
 
 
 class LoadFailed(RuntimeError):
     """A table could not be loaded; its audit row is written."""
 
 
-class TooManyRejects(RuntimeError):
-    """An extract has more broken rows than allowed."""
+class RowsRejected(RuntimeError):
+    """An extract has broken rows, and the policy is to take none of its rows then."""
 
+    def __init__(self, table: str, rejected: int):
+        super().__init__(f"{table}: {rejected} broken rows")
+        self.rejected = rejected
 
-def load_table(
-    warehouse: Warehouse, table: str, base_path: str, batch_id: str, max_errors: int = 10
-) -> tuple[int, int]:
+
+def load_table(warehouse: Warehouse, table: str, base_path: str, on_reject: str = KEEP) -> tuple[int, int]:
     """Replace a bronze table by its extract; returns the numbers of rows loaded and rejected.
 
-    One pass reads, counts and writes. Broken rows go to the rejects table, in a second pass only if there are any. With
-    more than ``max_errors`` of them the table is left empty and the load fails.
+    The old rows go first, so a load that fails leaves an empty table of the declared schema. One pass reads, counts and
+    writes. With ``on_reject="fail"`` any broken row empties the table again.
     """
+    schema = EXTRACTS[table].schema
+    warehouse.create_table(BRONZE, table, schema)
     rows = read_extract(warehouse.spark, table, base_path)
     counts = Observation()
     broken = F.col(REASON).isNotNull()
@@ -57,53 +64,70 @@ def load_table(
         F.count(F.when(~broken, 1)).alias("loaded"),
         F.count(F.when(broken, 1)).alias("rejected"),
     )
-    warehouse.overwrite(BRONZE, table, accepted(observed))
+    warehouse.append(BRONZE, table, accepted(observed), schema.names)
     n_loaded, n_rejected = counts.get["loaded"], counts.get["rejected"]
-    if n_rejected:
-        rejects = rejected(rows, table).withColumn("batch_id", F.lit(batch_id))
-        warehouse.append(BRONZE, REJECTS_TABLE, rejects, rejects.columns)
-    if n_rejected > max_errors:
-        warehouse.create_table(BRONZE, table, EXTRACTS[table].schema)
-        raise TooManyRejects(f"{table}: {n_rejected} broken rows, {max_errors} allowed")
+    if n_rejected and on_reject == FAIL:
+        warehouse.create_table(BRONZE, table, schema)
+        raise RowsRejected(table, n_rejected)
     return n_loaded, n_rejected
 
 
 def load_bronze(
-    warehouse: Warehouse, base_path: str = "datasets", on_error: str = "raise", max_errors: int = 10
+    warehouse: Warehouse, base_path: str = "datasets", on_error: str = "raise", on_reject: str = KEEP
 ) -> DataFrame:
     """Full refresh of the six bronze tables from the extracts below ``base_path``; returns the batch's audit.
 
-    A failed table gets an audit row too. Then the error is raised, or with ``on_error="record"`` the next table loaded.
+    The tables are loaded side by side. Broken rows are stored, however many, and counted in the audit; ``on_reject``
+    says whether the table's other rows are kept or the table fails. A failed table gets an audit row too; then the
+    first error is raised, or with ``on_error="record"`` only recorded.
     """
     if on_error not in ("raise", "record"):
         raise ValueError(f"on_error must be 'raise' or 'record', not {on_error!r}")
+    if on_reject not in (KEEP, FAIL):
+        raise ValueError(f"on_reject must be 'keep' or 'fail', not {on_reject!r}")
     for name, schema in ((AUDIT_TABLE, AUDIT_SCHEMA), (REJECTS_TABLE, REJECTS_SCHEMA)):
         if not warehouse.exists(BRONZE, name):
             warehouse.create_table(BRONZE, name, schema)
 
     batch_id, batch_start = uuid.uuid4().hex, _now()
-    total, entries, failure = [0, 0], [], None
-    for table in EXTRACTS:
+    entries: dict[str, tuple] = {}
+    failures: dict[str, Exception] = {}
+
+    def load(table: str) -> None:
         start = _now()
         try:
-            loaded, rejects = load_table(warehouse, table, base_path, batch_id, max_errors)
+            loaded, rejects = load_table(warehouse, table, base_path, on_reject)
         except Exception as error:  # whatever stopped the load belongs in the audit
-            entries.append((batch_id, table, start, _now(), 0, 0, FAILED, *_described(error)))
-            failure = failure or (table, error)
-            if on_error == "raise":
-                break
+            failures[table] = error
+            entries[table] = (batch_id, table, start, _now(), 0, getattr(error, "rejected", 0), FAILED, *_described(error))
         else:
-            entries.append((batch_id, table, start, _now(), loaded, rejects, LOADED, None, None, None))
-            total = [total[0] + loaded, total[1] + rejects]
-    status = FAILED if failure else LOADED
-    entries.append((batch_id, BATCH, batch_start, _now(), *total, status, None, None, None))
-    audit = warehouse.spark.createDataFrame(entries, AUDIT_SCHEMA)
+            status = REJECTS if rejects else LOADED
+            entries[table] = (batch_id, table, start, _now(), loaded, rejects, status, None, None, None)
+
+    run_together(warehouse.spark, [partial(load, t) for t in EXTRACTS])
+    listed = [entries[t] for t in EXTRACTS]
+    with_rejects = [e[1] for e in listed if e[5]]
+    if with_rejects:  # one writer, in a second pass over these extracts only
+        frames = [rejected(read_extract(warehouse.spark, t, base_path), t) for t in with_rejects]
+        rejects = reduce(DataFrame.unionByName, frames).withColumn("batch_id", F.lit(batch_id))
+        warehouse.append(BRONZE, REJECTS_TABLE, rejects, rejects.columns)
+    totals = [sum(e[i] for e in listed) for i in (4, 5)]
+    status = FAILED if failures else REJECTS if with_rejects else LOADED
+    listed.append((batch_id, BATCH, batch_start, _now(), *totals, status, None, None, None))
+    audit = warehouse.spark.createDataFrame(listed, AUDIT_SCHEMA)
     warehouse.append(BRONZE, AUDIT_TABLE, audit, audit.columns)
-    if failure and on_error == "raise":
-        raise LoadFailed(f"bronze load stopped at {failure[0]}: {failure[1]}") from failure[1]
+    if failures and on_error == "raise":
+        table = next(t for t in EXTRACTS if t in failures)
+        raise LoadFailed(f"bronze load failed at {table}: {failures[table]}") from failures[table]
     return load_audit(warehouse, batch_id)
 
 
+def load_rejects(warehouse: Warehouse, batch_id: str | None = None) -> DataFrame:
+    """Broken rows as they were read, of one batch or of all."""
+    rejects = warehouse.read(BRONZE, REJECTS_TABLE)
+    return rejects if batch_id is None else rejects.filter(F.col("batch_id") == batch_id)
+
+
 def load_audit(warehouse: Warehouse, batch_id: str | None = None) -> DataFrame:
     """Audit rows with their duration in whole seconds: one per table, and one named ``*`` for the batch."""
     audit = warehouse.read(BRONZE, AUDIT_TABLE)

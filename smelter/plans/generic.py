@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from smelter.functions.cleansing import GENDER, MARITAL_STATUS, UNKNOWN, code_label, future_flag
 from smelter.operators.latest import latest_record
-from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, FUTURE_COLUMN
+from smelter.plans.bronze import AUDIT_TABLE, REJECTS_TABLE
+from smelter.schemas import AUDIT_COLUMN, BRONZE, FUTURE_COLUMN
 from smelter.sources.tables import Warehouse
 
 # Columns taken as a table's key, and the date that orders its records.
@@ -67,14 +68,16 @@ def clean(
     if key is not None and RECORD_DATE in df.columns:
         df = latest_record(df, key, RECORD_DATE, ties, keep_null_key)
     columns: list[Column] = []
+    dated = RECORD_DATE in (c.lower() for c in df.columns)
     for field in df.schema.fields:
+        if dated and field.name.lower() == FUTURE_COLUMN:
+            continue  # an earlier flag is replaced
         rule = next((apply for fits, apply in rules if fits(field)), None)
         columns += rule(field, as_of) if rule else [F.col(field.name)]
     return df.select(*columns)
 
 
 def clean_layer(warehouse: Warehouse, layer: str = BRONZE, as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    """The cleaned form of every extract table that the catalog lists in a layer."""
-    return {
-        t: clean(warehouse.read(layer, t).drop(AUDIT_COLUMN), as_of) for t in warehouse.tables(layer) if t in EXTRACTS
-    }
+    """The cleaned form of every table that the catalog lists in a layer, but for the load's own records."""
+    own = (AUDIT_TABLE, REJECTS_TABLE)
+    return {t: clean(warehouse.read(layer, t).drop(AUDIT_COLUMN), as_of) for t in warehouse.tables(layer) if t not in own}

@@ -9,6 +9,7 @@ from smelter.functions.cleansing import PRODUCT_LINE, code_label, known_or
 from smelter.functions.dates import int_to_date
 from smelter.functions.keys import (
     category_id,
+    comparable,
     customer_key_of_dashed,
     customer_key_of_suffix,
     product_number,
@@ -22,12 +23,12 @@ COPIES = "_copies"
 
 def _lookup(table: DataFrame, key, *columns: str) -> DataFrame:
     """Distinct ``(_key, columns)`` with their number of copies, so that a key held by much of the table is one row."""
-    return collapse_copies(table.select(key.alias("_key"), *columns).filter(F.col("_key").isNotNull()), "_n")
+    return collapse_copies(table.select(comparable(key).alias("_key"), *columns).filter(F.col("_key").isNotNull()), "_n")
 
 
 def _left_join_counted(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Left join that multiplies the row's copies instead of repeating the row."""
-    joined = df.join(lookup, df[key] == lookup._key, "left")
+    joined = df.join(lookup, comparable(df[key]) == lookup._key, "left")
     return joined.withColumn(COPIES, F.col(COPIES) * F.coalesce("_n", F.lit(1))).drop("_key", "_n")
 
 
@@ -66,25 +67,26 @@ def dim_customers(customers: DataFrame, demographics: DataFrame, locations: Data
     )
 
 
-def dim_products(products: DataFrame, categories: DataFrame, current_version_only: bool = False) -> DataFrame:
+def dim_products(
+    products: DataFrame, categories: DataFrame, current_version_only: bool = False, unique_ids: bool = False
+) -> DataFrame:
     """Products with their category.
 
     A product number may have several versions, each a row with its own key, so a fact repeats a sale per version.
     ``current_version_only`` keeps the latest version of each number, under the same key as in the full dimension.
+    ``unique_ids`` says that no product id repeats, as in a build of latest records; copies then needn't be counted.
     """
-    base = collapse_copies(
-        products.select(
-            "prd_id",
-            "prd_key",
-            F.trim("prd_nm").alias("prd_nm"),
-            F.coalesce("prd_cost", F.lit(0)).alias("prd_cost"),
-            code_label(F.col("prd_line"), PRODUCT_LINE).alias("prd_line"),
-            "prd_start_dt",
-            "prd_end_dt",
-            category_id(F.col("prd_key")).alias("_category"),
-        ),
-        COPIES,
+    base = products.select(
+        "prd_id",
+        "prd_key",
+        F.trim("prd_nm").alias("prd_nm"),
+        F.coalesce("prd_cost", F.lit(0)).alias("prd_cost"),
+        code_label(F.col("prd_line"), PRODUCT_LINE).alias("prd_line"),
+        "prd_start_dt",
+        "prd_end_dt",
+        category_id(F.col("prd_key")).alias("_category"),
     )
+    base = base.withColumn(COPIES, F.lit(1).cast("bigint")) if unique_ids else collapse_copies(base, COPIES)
     base = _left_join_counted(base, _lookup(categories, F.col("id"), "cat", "subcat", "maintenance"), "_category")
     dimension = surrogate_key(base, "prd_id", "product_key", COPIES).select(
         "product_key",
@@ -114,7 +116,7 @@ def fact_sales(sales: DataFrame, customers: DataFrame, products: DataFrame) -> D
     p = products.select("product_key", "product_number")
     return (
         sales.join(c, sales.sls_cust_id == c.customer_id)
-        .join(p, sales.sls_prd_key == p.product_number)
+        .join(p, comparable(sales.sls_prd_key) == comparable(p.product_number))
         .select(
             F.col("sls_ord_num").alias("order_number"),
             "customer_key",
@@ -129,10 +131,10 @@ def fact_sales(sales: DataFrame, customers: DataFrame, products: DataFrame) -> D
     )
 
 
-def gold_layer(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def gold_layer(silver: dict[str, DataFrame], unique_ids: bool = False) -> dict[str, DataFrame]:
     """The three gold objects from the six silver tables."""
     customers = dim_customers(silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"])
-    products = dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"])
+    products = dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"], unique_ids=unique_ids)
     return {
         "dim_customers": customers,
         "dim_products": products,

@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.plans.bronze import load_bronze
+from smelter.plans.bronze import KEEP, load_bronze, load_rejects
 from smelter.plans.gold import dim_customers, dim_products, fact_sales
 from smelter.plans.profiles import PRODUCTION, Profile
 from smelter.plans.quality import gate, verdict
@@ -49,18 +49,20 @@ def build_silver(
     store("crm_sales_details", silver_sales(bronze["crm_sales_details"], products, customers, profile))
 
 
-def build_gold(warehouse: Warehouse) -> None:
+def build_gold(warehouse: Warehouse, profile: Profile = PRODUCTION) -> None:
     """Replace the gold tables: dimensions first, so the fact reads their keys; the fact in a folder per order year."""
     silver = {t: warehouse.read(SILVER, t) for t in EXTRACTS}
     dimensions = {
         "dim_customers": dim_customers(silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"]),
-        "dim_products": dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"]),
+        "dim_products": dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"], unique_ids=profile.latest_products_only),
     }
     run_together(warehouse.spark, [partial(warehouse.overwrite, GOLD, t, df) for t, df in dimensions.items()])
     fact = fact_sales(
         silver["crm_sales_details"], warehouse.read(GOLD, "dim_customers"), warehouse.read(GOLD, "dim_products")
     )
-    warehouse.overwrite(GOLD, "fact_sales", fact.withColumn(ORDER_YEAR, F.year("order_date")), [ORDER_YEAR])
+    # A rebalance on the year writes few files per folder; large years are split over several tasks.
+    dated = fact.withColumn(ORDER_YEAR, F.year("order_date")).hint("rebalance", F.col(ORDER_YEAR))
+    warehouse.overwrite(GOLD, "fact_sales", dated, [ORDER_YEAR])
 
 
 def gate_tables(warehouse: Warehouse) -> dict[str, dict[str, DataFrame | None]]:
@@ -75,13 +77,23 @@ def run_pipeline(
     profile: Profile = PRODUCTION,
     reset: bool = False,
     enforce: bool = True,
+    on_error: str = "raise",
+    on_reject: str = KEEP,
+    loaded_at: dt.datetime | None = None,
+    lowest_cost: int | None = None,
 ) -> Run:
-    """Load, cleanse, model and check. Raises ``GateFailed`` on silver or gold violations unless ``enforce`` is off."""
+    """Load, cleanse, model and check. Raises ``GateFailed`` on silver or gold violations unless ``enforce`` is off.
+
+    ``on_error`` and ``on_reject`` are the load's policies, ``loaded_at`` the time stamped on silver rows, and
+    ``lowest_cost`` the gate's lowest good cost in place of the profile's.
+    """
     warehouse.create_namespaces(reset)
-    audit = load_bronze(warehouse, base_path)
-    build_silver(warehouse, as_of, profile)
-    build_gold(warehouse)
-    checks = gate(warehouse.spark, **gate_tables(warehouse), as_of=as_of, profile=profile)
+    audit = load_bronze(warehouse, base_path, on_error, on_reject)
+    build_silver(warehouse, as_of, profile, loaded_at)
+    build_gold(warehouse, profile)
+    batch = audit.select("batch_id").first()["batch_id"]
+    rejects = load_rejects(warehouse, batch)
+    checks = gate(warehouse.spark, **gate_tables(warehouse), as_of=as_of, profile=profile, rejects=rejects, lowest_cost=lowest_cost)
     results = warehouse.spark.createDataFrame(checks.collect(), checks.schema)  # one row per check; run them once
     if enforce:
         verdict(results)

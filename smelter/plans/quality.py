@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smelter.functions.keys import product_number
+from smelter.functions.dates import is_invalid_day
+from smelter.functions.keys import comparable, product_number
 from smelter.operators import checks as k
 from smelter.plans.profiles import PRODUCTION, Profile
 from smelter.schemas import BRONZE, GOLD, GOLD_OBJECTS, SILVER
@@ -83,6 +84,54 @@ def suite_summary(checks: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def layer_summary(tables: dict[str, DataFrame], as_of: dt.date | None = None) -> DataFrame:
+    """``suite_summary`` of ``layer_checks``, with one scan per table.
+
+    All row rules of a table are counted in one aggregation per key or value that the other rules group by; what is left
+    to shuffle is one row per key.
+    """
+    customers, products = tables["crm_cust_info"], tables["crm_prd_info"]
+    sales, demographics, categories = tables["crm_sales_details"], tables["erp_cust_az12"], tables["erp_px_cat_g1v2"]
+    triple = ["sls_sales", "sls_quantity", "sls_price"]
+    untrimmed = k.any_untrimmed
+    plans = [
+        (customers, ["cust_id"], {"customer_key_untrimmed": untrimmed(["cust_key"])}, {"customer_key": _breaks_key("cust_id")}),
+        (
+            products,
+            ["prd_id"],
+            {
+                "product_name_untrimmed": untrimmed(["prd_nm"]),
+                "product_cost": k.bad_cost(0),
+                "product_range": k.inverted_range("prd_start_dt", "prd_end_dt"),
+            },
+            {"product_key": _breaks_key("prd_id")},
+        ),
+        (
+            sales,
+            triple,
+            {"sales_due_date": is_invalid_day(F.col("sls_due_dt")), "sales_date_order": k.ordered_late()},
+            {"sales_amount": k.inconsistent_sales()},
+        ),
+        (demographics, ["bdate"], {}, {"birth_date": k.birth_out_of_range(as_of)}),
+        (categories, [], {"category_untrimmed": untrimmed(["cat", "subcat", "maintenance"])}, {}),
+    ]
+    return _union([_summed(*plan) for plan in plans])
+
+
+def _breaks_key(key: str) -> Column:
+    return (F.col("_rows") > 1) | F.col(key).isNull()
+
+
+def _summed(df: DataFrame, keys: list[str], row_rules: dict[str, Column], group_rules: dict[str, Column]) -> DataFrame:
+    """Rows that break each row rule, and groups that break each group rule, from one scan."""
+    counts = [F.count(F.when(rule, 1)).alias(name) for name, rule in row_rules.items()]
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *counts)
+    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in row_rules]
+    totals += [F.count(F.when(rule, 1)).alias(name) for name, rule in group_rules.items()]
+    pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("violations")) for n in (*row_rules, *group_rules)])
+    return groups.agg(*totals).select(F.explode(pairs).alias("c")).select("c.check_name", "c.violations")
+
+
 # ---- gate ----------------------------------------------------------------------------------------------------
 
 
@@ -93,15 +142,23 @@ def gate(
     gold: Tables,
     as_of: dt.date | None = None,
     profile: Profile = PRODUCTION,
+    rejects: DataFrame | None = None,
+    lowest_cost: int | None = None,
 ) -> DataFrame:
     """One row per check: layer, table, check, severity, number of violations, and 1 if the check fails the gate.
 
+    ``rejects`` are the rows that the load could not take. The lowest good cost of silver is the profile's own floor,
+    so that no build fails on its own repairs, unless ``lowest_cost`` names another; the literal rule is 1.
+
     Bronze checks only warn, since raw data may be dirty; silver and gold ones fail. A table that is missing (``None``)
     fails its existence check and its other checks are left out. The checks of one table share one pass over it.
     """
-    lowest = profile.lowest_cost
+    lowest = profile.lowest_cost if lowest_cost is None else lowest_cost
     frames: list[DataFrame] = []
 
+    if rejects is not None:
+        frames.append(_measure(rejects, BRONZE, "load_rejects", WARNING, {"rejected rows": F.lit(True)}))
+
     if (t := bronze.get("crm_cust_info")) is not None:
         keys = k.repeated_keys(t, "cust_id")
         frames.append(_measure(keys, BRONZE, "crm_cust_info", WARNING, {"duplicate or null key": F.lit(True)}))
@@ -146,10 +203,10 @@ def gate(
         )
     if sales is not None and customers is not None:
         known = customers.select(F.col("cust_id").alias("_key"))
-        frames.append(_orphans(sales, "sls_cust_id", known, "without customer"))
+        frames.append(_orphans(sales, F.col("sls_cust_id"), known, "without customer"))
     if sales is not None and products is not None:
-        known = products.select(product_number(F.col("prd_key")).alias("_key"))
-        frames.append(_orphans(sales, "sls_prd_key", known, "without product"))
+        known = products.select(comparable(product_number(F.col("prd_key"))).alias("_key"))
+        frames.append(_orphans(sales, comparable(F.col("sls_prd_key")), known, "without product"))
 
     for name in GOLD_OBJECTS:
         if (t := gold.get(name)) is not None:
@@ -160,6 +217,13 @@ def gate(
     return _union(frames)
 
 
+def failed_checks(results: DataFrame) -> DataFrame:
+    """The verdict as one more row of results: how many checks failed."""
+    total = results.agg(F.coalesce(F.sum(F.col("failed").cast("bigint")), F.lit(0)).alias("violations"))
+    whole = [F.lit("*").alias(c) for c in ("layer", "table_name")]
+    return total.select(*whole, F.lit("failed checks").alias("check_name"), F.lit(ERROR).alias("severity"), "violations", F.least(F.col("violations"), F.lit(1)).cast("int").alias("failed"))
+
+
 def verdict(results: DataFrame) -> None:
     """Raise ``GateFailed`` if any check of the gate failed."""
     failed = results.filter("failed = 1").collect()  # at most one row per check
@@ -184,9 +248,9 @@ def _measure(df: DataFrame, layer: str, table: str, severity: str, rules: dict[s
     )
 
 
-def _orphans(sales: DataFrame, key: str, known: DataFrame, check: str) -> DataFrame:
+def _orphans(sales: DataFrame, key: Column, known: DataFrame, check: str) -> DataFrame:
     """Number of sales whose key is unknown. Sales are counted per key first, so the join moves each key once."""
-    per_key = sales.groupBy(F.col(key).alias("_sold")).agg(F.count(F.lit(1)).alias("_lines"))
+    per_key = sales.groupBy(key.alias("_sold")).agg(F.count(F.lit(1)).alias("_lines"))
     unknown = per_key.join(known, per_key._sold == known._key, "left_anti")
     total = unknown.agg(F.coalesce(F.sum("_lines"), F.lit(0)).alias("violations"))
     return total.select(

@@ -18,7 +18,7 @@ from smelter.functions.cleansing import (
     future_flag,
     number_or_default,
 )
-from smelter.functions.keys import product_number
+from smelter.functions.keys import comparable, product_number
 from smelter.operators.latest import latest_record
 from smelter.plans.profiles import PRODUCTION, Profile
 from smelter.schemas import EXTRACTS, FUTURE_COLUMN
@@ -65,9 +65,9 @@ def silver_sales(
 
     Production keeps each sale once. CI repeats a sale for every version of its product, as an inner join does.
     """
-    numbers = products.select(product_number(F.col("prd_key")).alias("_number"))
+    numbers = products.select(comparable(product_number(F.col("prd_key"))).alias("_number"))
     how = "inner" if profile.sales_per_product_version else "left_semi"
-    sold = bronze.join(numbers, bronze.sls_prd_key == numbers._number, how)
+    sold = bronze.join(numbers, comparable(bronze.sls_prd_key) == numbers._number, how)
     return sold.join(customers, sold.sls_cust_id == customers.cust_id, "left_semi").select(
         *EXTRACTS["crm_sales_details"].columns
     )

@@ -36,12 +36,20 @@ class Warehouse:
 
     def create_namespaces(self, reset: bool = False) -> None:
         """Create the three namespaces; ``reset`` first drops them with all their tables."""
+        if reset:
+            self.drop()
         for layer in LAYERS:
-            if reset:
-                self.spark.sql(f"DROP SCHEMA IF EXISTS {self.namespace(layer)} CASCADE")
             place = f" LOCATION '{self.location}/{layer}'" if self.location else ""
             self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self.namespace(layer)}{place}")
 
+    def drop(self) -> None:
+        """Drop the three namespaces with all their tables, and their folders below ``location``."""
+        for layer in LAYERS:
+            self.spark.sql(f"DROP SCHEMA IF EXISTS {self.namespace(layer)} CASCADE")
+            if self.location:  # a catalog of this session alone doesn't know what an earlier session stored
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.location}/{layer}")
+                path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
     def create_table(self, layer: str, table: str, schema: T.StructType) -> None:
         """An empty table with a declared schema, in place of one of that name."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
@@ -115,7 +123,3 @@ def load_time(loaded_at: dt.datetime | None = None):
 def with_load_time(df: DataFrame, loaded_at: dt.datetime | None = None) -> DataFrame:
     return df.withColumn(AUDIT_COLUMN, load_time(loaded_at))
 
-
-def with_default_column(df: DataFrame, column: str, default) -> DataFrame:
-    """The frame with a column of that name, filled with ``default`` if it had none."""
-    return df if column in df.columns else df.withColumn(column, F.lit(default))

@@ -1,18 +1,28 @@
 """The six source tables, derived from the TPC-H-like test tables.
 
 The test tables are clean, so dirt is added by arithmetic on ids. Each text is valid in Spark SQL and in DuckDB once the
-table names are filled in; only the two-versions relation is spelled differently.
+table names are filled in; only the two-versions relation is spelled differently. Numbers are never cut: product numbers
+grow beyond their six digits, and customer keys have nine hexadecimal ones, for 68 billion customers.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+
+
+def padded(text: str, width: int) -> str:
+    return f"LPAD({text}, CAST(GREATEST({width}, LENGTH({text})) AS INT), '0')"
+
+
+CUSTOMER = padded("HEX({c}c_custkey)", 9)
+PRODUCT = "CONCAT('P', " + padded("CAST(({p}partkey - {p}partkey % 2) AS STRING)", 6) + ")"
+CATEGORY = "CONCAT(CASE p_partkey % 4 WHEN 0 THEN 'AC' WHEN 1 THEN 'CO' WHEN 2 THEN 'BI' ELSE 'XX' END, '{dash}', LPAD(CAST(p_partkey % 37 AS STRING), 2, '0'))"
+
 TEXTS = {
     "crm_cust_info": """
 SELECT CASE WHEN c.c_custkey % 97 = 0 THEN NULL ELSE CAST(c.c_custkey AS INT) END AS cust_id,
-  CONCAT('AW', LPAD(CAST(c.c_custkey AS VARCHAR(8)), 8, '0'), CASE WHEN c.c_custkey % 31 = 0 THEN ' ' ELSE '' END)
-    AS cust_key,
+  CONCAT('A', """ + CUSTOMER.format(c="c.") + """, CASE WHEN c.c_custkey % 31 = 0 THEN ' ' ELSE '' END) AS cust_key,
   CONCAT(CASE WHEN c.c_custkey % 7 = 0 THEN '  ' ELSE '' END, c.c_mktsegment,
     CASE WHEN c.c_custkey % 5 = 0 THEN ' ' ELSE '' END) AS cust_firstname,
   CONCAT(c.c_name, CASE WHEN c.c_custkey % 3 = 0 THEN ' ' ELSE '' END) AS cust_lastname,
@@ -23,8 +33,7 @@ SELECT CASE WHEN c.c_custkey % 97 = 0 THEN NULL ELSE CAST(c.c_custkey AS INT) EN
 FROM {customer} c JOIN {orders} o ON o.o_custkey = c.c_custkey""",
     "crm_prd_info": """
 SELECT CASE WHEN p_partkey % 101 = 0 THEN NULL ELSE CAST(p_partkey AS INT) END AS prd_id,
-  CONCAT(CASE p_partkey % 4 WHEN 0 THEN 'AC-HE-' WHEN 1 THEN 'CO-RF-' WHEN 2 THEN 'BI-MB-' ELSE 'CO-PE-' END,
-         'P', LPAD(CAST((p_partkey - p_partkey % 2) AS VARCHAR(6)), 6, '0')) AS prd_key,
+  CONCAT(""" + CATEGORY.format(dash="-") + """, '-', """ + PRODUCT.format(p="p_") + """) AS prd_key,
   CONCAT(p_name, CASE WHEN p_partkey % 9 = 0 THEN ' ' ELSE '' END) AS prd_nm,
   CASE WHEN p_partkey % 50 = 0 THEN NULL WHEN p_partkey % 50 = 1 THEN -5 ELSE CAST(FLOOR(p_retailprice) AS INT) END
     AS prd_cost,
@@ -36,9 +45,9 @@ SELECT CASE WHEN p_partkey % 101 = 0 THEN NULL ELSE CAST(p_partkey AS INT) END A
 FROM {part} {versions}
 WHERE n = 0 OR p_partkey % 25 = 0""",
     "crm_sales_details": """
-SELECT CONCAT('SO', CAST(l_orderkey AS VARCHAR(10))) AS sls_ord_num,
+SELECT CONCAT('SO', CAST(l_orderkey AS STRING)) AS sls_ord_num,
   CASE WHEN l_partkey % 60 = 0 THEN 'P-NONE'
-    ELSE CONCAT('P', LPAD(CAST((l_partkey - l_partkey % 2) AS VARCHAR(6)), 6, '0')) END AS sls_prd_key,
+    ELSE """ + PRODUCT.format(p="l_") + """ END AS sls_prd_key,
   CAST(CASE WHEN l_orderkey % 50 = 0 THEN -1 ELSE o_custkey END AS INT) AS sls_cust_id,
   CASE WHEN l_orderkey % 40 = 0 THEN 0 WHEN l_orderkey % 41 = 0 THEN 32154
     ELSE CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INT) END AS sls_order_dt,
@@ -51,18 +60,22 @@ SELECT CONCAT('SO', CAST(l_orderkey AS VARCHAR(10))) AS sls_ord_num,
   CASE WHEN l_linenumber = 6 THEN -1 ELSE CAST(FLOOR(l_extendedprice / l_quantity) AS INT) END AS sls_price
 FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey""",
     "erp_cust_az12": """
-SELECT CONCAT('NASAW', LPAD(CAST(c_custkey AS VARCHAR(8)), 8, '0')) AS cid,
+SELECT CONCAT(CASE WHEN c_custkey % 10 = 9 THEN 'NASX' ELSE 'NASA' END, """ + CUSTOMER.format(c="") + """) AS cid,
   CASE c_custkey % 40 WHEN 0 THEN CAST('1916-02-10' AS DATE) WHEN 1 THEN CAST('2999-01-01' AS DATE) WHEN 2 THEN NULL
     ELSE CAST('1971-10-06' AS DATE) END AS bdate,
   CASE c_custkey % 3 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' ELSE NULL END AS gen
-FROM {customer} WHERE c_custkey % 10 <> 9""",
+FROM {customer}""",
     "erp_loc_a101": """
-SELECT CONCAT('AW-', LPAD(CAST(c_custkey AS VARCHAR(8)), 8, '0')) AS cid,
+SELECT CONCAT(CASE WHEN c_custkey % 10 = 8 THEN 'X-' ELSE 'A-' END, """ + CUSTOMER.format(c="") + """) AS cid,
   CASE WHEN c_custkey % 11 = 0 THEN '' ELSE n_name END AS cntry
-FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey WHERE c_custkey % 10 <> 8""",
+FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey""",
     "erp_px_cat_g1v2": """
-SELECT id, cat, subcat, maintenance FROM (VALUES ('AC_HE', 'Accessories', 'Helmets', 'Yes'),
-  ('CO_RF', 'Components', ' Road Frames', 'Yes'), ('BI_MB', 'Bikes', 'Mountain Bikes', 'No ')) AS t(id, cat, subcat, maintenance)""",
+SELECT DISTINCT """ + CATEGORY.format(dash="_") + """ AS id,
+  CASE p_partkey % 4 WHEN 0 THEN 'Accessories' WHEN 1 THEN 'Components' ELSE 'Bikes' END AS cat,
+  CONCAT(CASE WHEN p_partkey % 37 % 5 = 0 THEN ' ' ELSE '' END, 'Line ', CAST(p_partkey % 37 AS STRING)) AS subcat,
+  CONCAT(CASE p_partkey % 37 % 2 WHEN 0 THEN 'Yes' ELSE 'No' END,
+    CASE WHEN p_partkey % 37 % 7 = 0 THEN ' ' ELSE '' END) AS maintenance
+FROM {part} WHERE p_partkey % 4 <> 3""",
 }
 
 INPUTS = {
@@ -71,7 +84,7 @@ INPUTS = {
     "crm_sales_details": ("lineitem", "orders"),
     "erp_cust_az12": ("customer",),
     "erp_loc_a101": ("customer", "nation"),
-    "erp_px_cat_g1v2": (),
+    "erp_px_cat_g1v2": ("part",),
 }
 
 TIE = ["src_seq"]  # not a source column: orders customer records of one date

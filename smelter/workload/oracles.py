@@ -52,20 +52,20 @@ DERIVED = {
     "s_prd_ci": f"""SELECT prd_id, prd_key, TRIM(prd_nm) AS prd_nm, {COST_CI} AS prd_cost, TRIM(prd_line) AS prd_line,
   prd_start_dt, {END} AS prd_end_dt FROM crm_prd_info""",
     "s_sales": """SELECT s.* FROM crm_sales_details s
-  WHERE EXISTS (SELECT 1 FROM s_prd p WHERE SUBSTRING(p.prd_key, 7) = s.sls_prd_key)
+  WHERE EXISTS (SELECT 1 FROM s_prd p WHERE RTRIM(SUBSTRING(p.prd_key, 7)) = RTRIM(s.sls_prd_key))
   AND EXISTS (SELECT 1 FROM s_cust c WHERE c.cust_id = s.sls_cust_id)""",
-    "s_sales_ci": """SELECT s.* FROM crm_sales_details s JOIN s_prd_ci p ON SUBSTRING(p.prd_key, 7) = s.sls_prd_key
+    "s_sales_ci": """SELECT s.* FROM crm_sales_details s JOIN s_prd_ci p ON RTRIM(SUBSTRING(p.prd_key, 7)) = RTRIM(s.sls_prd_key)
   WHERE EXISTS (SELECT 1 FROM s_cust c WHERE c.cust_id = s.sls_cust_id)""",
     "g_cust": f"""SELECT ROW_NUMBER() OVER (ORDER BY cust_id NULLS FIRST) AS customer_key, cust_id AS customer_id,
   cust_key AS customer_number, TRIM(cust_firstname) AS first_name, {hashed("TRIM(cust_lastname)")} AS last_name_hash,
   cust_marital_status AS marital_status, COALESCE(NULLIF(cust_gender, 'n/a'), gen) AS gender, bdate AS birth_date,
   cntry AS country, cust_create_date AS customer_create_date, cust_is_future
-FROM s_cust c LEFT JOIN erp_cust_az12 e ON RIGHT(e.cid, 10) = c.cust_key
-  LEFT JOIN erp_loc_a101 l ON REPLACE(l.cid, '-', '') = c.cust_key""",
+FROM s_cust c LEFT JOIN erp_cust_az12 e ON RTRIM(RIGHT(e.cid, 10)) = RTRIM(c.cust_key)
+  LEFT JOIN erp_loc_a101 l ON RTRIM(REPLACE(l.cid, '-', '')) = RTRIM(c.cust_key)""",
     "g_fact": f"""SELECT sls_ord_num AS order_number, customer_key, product_key, {as_date("sls_order_dt")} AS order_date,
   {as_date("sls_ship_dt")} AS ship_date, {as_date("sls_due_dt")} AS due_date, sls_sales AS sales_amount,
   sls_quantity AS quantity, sls_price AS price
-FROM s_sales JOIN g_cust ON customer_id = sls_cust_id JOIN g_prd ON product_number = sls_prd_key""",
+FROM s_sales JOIN g_cust ON customer_id = sls_cust_id JOIN g_prd ON RTRIM(product_number) = RTRIM(sls_prd_key)""",
     "g_prd_now": """SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_number
   ORDER BY product_start_date DESC NULLS LAST, product_key DESC) AS rn FROM g_prd) WHERE rn = 1""",
 }
@@ -74,7 +74,7 @@ for suffix in ("", "_ci"):
   prd_id AS product_id, SUBSTRING(prd_key, 7) AS product_number, TRIM(prd_nm) AS product_name,
   COALESCE(prd_cost, 0) AS product_cost, {LINE} AS product_line, prd_start_dt AS product_start_date,
   prd_end_dt AS product_end_date, cat AS category, subcat AS subcategory, maintenance
-FROM s_prd{suffix} LEFT JOIN erp_px_cat_g1v2 ON id = REPLACE(SUBSTRING(prd_key, 1, 5), '-', '_')"""
+FROM s_prd{suffix} LEFT JOIN erp_px_cat_g1v2 ON RTRIM(id) = RTRIM(REPLACE(SUBSTRING(prd_key, 1, 5), '-', '_'))"""
 
 def sql(body: str, *names: str) -> str:
     """The query with the named derived tables and all source tables before it."""
@@ -122,8 +122,13 @@ def counted(relation: str, where: str) -> str:
     return f"(SELECT COUNT(*) FROM {relation} WHERE {where})"
 
 
-def gate(bad_cost: str, products: str, sales: str, gold_products: str, fact: str) -> str:
-    parts = [
+def gate(
+    bad_cost: str, products: str, sales: str, gold_products: str, fact: str, customers: str = "s_cust", missing: str = "",
+    rejected: str = "",
+) -> str:
+    """Gate results; ``missing`` names a gold object that isn't there, ``rejected`` counts the load's broken rows."""
+    parts = [] if not rejected else [check("bronze", "load_rejects", "rejected rows", rejected, False)]
+    parts += [
         check(
             "bronze",
             "crm_cust_info",
@@ -160,14 +165,14 @@ def gate(bad_cost: str, products: str, sales: str, gold_products: str, fact: str
             "silver",
             "crm_cust_info",
             "null key",
-            "(SELECT COUNT(DISTINCT 1) FROM s_cust WHERE cust_id IS NULL)",
+            f"(SELECT COUNT(DISTINCT 1) FROM {customers} WHERE cust_id IS NULL)",
             True,
         ),
         check(
             "silver",
             "crm_cust_info",
             "duplicate key",
-            "(SELECT COUNT(*) FROM (SELECT cust_id FROM s_cust GROUP BY cust_id HAVING COUNT(*) > 1))",
+            f"(SELECT COUNT(*) FROM (SELECT cust_id FROM {customers} GROUP BY cust_id HAVING COUNT(*) > 1))",
             True,
         ),
         check("silver", "crm_prd_info", "bad cost", counted(products, f"prd_cost IS NULL OR {bad_cost}"), True),
@@ -176,22 +181,25 @@ def gate(bad_cost: str, products: str, sales: str, gold_products: str, fact: str
             "silver",
             "crm_sales_details",
             "without customer",
-            counted(f"{sales} LEFT JOIN s_cust ON cust_id = sls_cust_id", "cust_id IS NULL"),
+            f"(SELECT COUNT(*) FROM {sales} WHERE NOT EXISTS (SELECT 1 FROM {customers} c WHERE c.cust_id = sls_cust_id))",
             True,
         ),
         check(
             "silver",
             "crm_sales_details",
             "without product",
-            counted(f"{sales} LEFT JOIN {products} ON SUBSTRING(prd_key, 7) = sls_prd_key", "prd_key IS NULL"),
+            f"(SELECT COUNT(*) FROM {sales} WHERE NOT EXISTS (SELECT 1 FROM {products} p "
+            "WHERE RTRIM(SUBSTRING(p.prd_key, 7)) = RTRIM(sls_prd_key)))",
             True,
         ),
     ]
     for layer, table in [("silver", t) for t in ("crm_cust_info", "crm_prd_info", "crm_sales_details")] + [
         ("gold", t) for t in ("dim_customers", "dim_products", "fact_sales")
     ]:
-        parts.append(check(layer, table, "missing", "0", True))
+        parts.append(check(layer, table, "missing", "1" if table == missing else "0", True))
     for table, relation in (("dim_customers", "g_cust"), ("dim_products", gold_products), ("fact_sales", fact)):
+        if table == missing:
+            continue
         empty = f"(SELECT CASE WHEN EXISTS (SELECT 1 FROM {relation}) THEN 0 ELSE 1 END)"
         parts.append(check("gold", table, "no rows", empty, True))
     return union(*parts)
@@ -245,16 +253,39 @@ CLEAN_FIELDS = {
     t: stored(t, "TRIM({c})") for t in EXTRACTS if t != "crm_cust_info"
 }
 
+DERIVED["results"] = gate(
+    "prd_cost < 0", "crm_prd_info", "crm_sales_details", "(SELECT 1 WHERE false)", "crm_sales_details", "crm_cust_info",
+    "dim_customers", "(SELECT COUNT(*) FROM crm_cust_info WHERE cust_id % 10 = 0)",
+)
+VERDICT = """SELECT '*', '*', 'failed checks', 'error', CAST(SUM(failed) AS BIGINT), CAST(LEAST(SUM(failed), 1) AS INTEGER)
+FROM results"""
+
+# Labels are no codes, so cleaning them again makes them unknown.
+UNLABELLED = [f"CASE WHEN {c} IN ('M', 'S', 'F') THEN 'never' ELSE 'n/a' END" for c in ("cust_marital_status", "cust_gender")]
+
+REJECTED = "(SELECT COUNT(*) FROM crm_cust_info WHERE cust_id % 10 = 0)"
+LOAD_FAILED = union(
+    f"SELECT 'crm_cust_info' AS table_name, {COUNTS['crm_cust_info']} - {REJECTED} AS rows_loaded, {REJECTED} AS rows_rejected, "
+    f"'REJECTS' AS status, CAST(NULL AS VARCHAR) AS error_condition, {COUNTS['crm_cust_info']} - {REJECTED} AS rows_held",
+    *[
+        f"SELECT '{t}', {COUNTS[t]}, 0, 'LOADED', NULL, {COUNTS[t]}"
+        for t in TEXTS if t not in ("crm_cust_info", "erp_loc_a101")
+    ],
+    "SELECT 'erp_loc_a101', 0, 0, 'FAILED', 'PATH_NOT_FOUND', 0",
+    f"SELECT '*', {' + '.join(c for t, c in COUNTS.items() if t != 'erp_loc_a101')} - {REJECTED}, {REJECTED}, 'FAILED', NULL, {REJECTED}",
+)
+
 ORACLES: dict[str, str] = {
     # sources, sinks and tables
     "bronze_csv_roundtrip": sql(records({t: (t, stored(t, "NULLIF({c}, '')")) for t in EXTRACTS})),
     "load_audit": sql(
         union(
-            *[f"SELECT '{t}' AS table_name, {n} AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected, 'LOADED' AS status"
+            *[f"SELECT '{t}' AS table_name, {n} AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected, 'LOADED' AS status, true AS timed"
               for t, n in COUNTS.items()],
-            f"SELECT '*', {' + '.join(COUNTS.values())}, CAST(0 AS BIGINT), 'LOADED'",
+            f"SELECT '*', {' + '.join(COUNTS.values())}, CAST(0 AS BIGINT), 'LOADED', true",
         )
     ),
+    "load_audit_failed": sql(LOAD_FAILED),
     "catalog_tables": sql(
         union(
             *[
@@ -265,7 +296,7 @@ ORACLES: dict[str, str] = {
             ]
         )
     ),
-    "silver_append": sql(records({t: (t, stored(t)) for t in ERP})),
+    "silver_append": sql(records({t: (t, [*stored(t), "TIMESTAMP '2026-01-02 03:04:05'"]) for t in ERP})),
     "schema_evolve": sql(
         "SELECT cust_id, cust_create_date, CAST(0 AS INTEGER) AS cust_is_future FROM s_cust "
         "UNION ALL SELECT cust_id, cust_create_date, cust_is_future FROM s_cust",
@@ -290,7 +321,7 @@ ORACLES: dict[str, str] = {
     ),
     "source_priority": sql(
         "SELECT cust_id, COALESCE(NULLIF(cust_gender, 'n/a'), gen) AS gender FROM s_cust "
-        "LEFT JOIN erp_cust_az12 ON RIGHT(cid, 10) = cust_key",
+        "LEFT JOIN erp_cust_az12 ON RTRIM(RIGHT(cid, 10)) = RTRIM(cust_key)",
         "s_cust",
     ),
     "key_conform": sql(
@@ -306,7 +337,7 @@ ORACLES: dict[str, str] = {
     "latest_customer": sql(LATEST_CUSTOMER),
     "latest_customer_null_key": sql(LATEST_CUSTOMER_NULL),
     "latest_product": sql(LATEST_PRODUCT),
-    "surrogate_key": "SELECT CAST(o_orderkey AS INTEGER) AS id, o_custkey, "
+    "surrogate_key": "SELECT o_orderkey AS id, o_custkey, "
     "ROW_NUMBER() OVER (ORDER BY o_orderkey) AS surrogate_key FROM orders",
     "surrogate_key_repeated": sql(
         "SELECT sls_cust_id, MIN(k) AS first_key, MAX(k) AS last_key, COUNT(k) AS key_count FROM (SELECT sls_cust_id, "
@@ -328,6 +359,23 @@ ORACLES: dict[str, str] = {
             }
         )
     ),
+    "generic_clean_silver": sql(
+        records(
+            {
+                "crm_cust_info": (
+                    f"(SELECT * REPLACE ({FUTURE} AS cust_is_future) FROM s_cust)",
+                    ["cust_id", "TRIM(cust_key)", "cust_firstname", "cust_lastname", *UNLABELLED, "cust_create_date", "cust_is_future"],
+                ),
+                "crm_prd_info": (
+                    "s_prd", ["prd_id", "prd_key", "prd_nm", "prd_cost", "prd_line", "prd_start_dt", "prd_end_dt"]
+                ),
+                "crm_sales_details": ("s_sales", CLEAN_FIELDS["crm_sales_details"]),
+                **{t: (t, CLEAN_FIELDS[t]) for t in ERP},
+                "nations": ("nation", ["n_nationkey", "TRIM(n_name)"]),
+            }
+        ),
+        *S_ALL,
+    ),
     "top_customers": sql(
         "SELECT cust_id, cust_firstname, cust_lastname, cust_gender, cust_is_future FROM s_cust ORDER BY cust_id LIMIT 10",
         "s_cust",
@@ -394,12 +442,24 @@ ORACLES: dict[str, str] = {
         )
         + "\nORDER BY profile, value NULLS FIRST"
     ),
+    "profile_values_silver": sql(
+        union(
+            "SELECT DISTINCT 'marital_status' AS profile, cust_marital_status AS value FROM s_cust",
+            "SELECT DISTINCT 'product_line', prd_line FROM s_prd",
+            "SELECT DISTINCT 'gender', gen FROM erp_cust_az12",
+            "SELECT DISTINCT 'country', cntry FROM erp_loc_a101",
+            "SELECT DISTINCT 'maintenance', maintenance FROM erp_px_cat_g1v2",
+        )
+        + "\nORDER BY profile, value NULLS FIRST",
+        "s_cust",
+        "s_prd",
+    ),
     "dq_orphan_customer": sql(
         "SELECT s.* FROM crm_sales_details s LEFT JOIN s_cust c ON c.cust_id = s.sls_cust_id WHERE c.cust_id IS NULL",
         "s_cust",
     ),
     "dq_orphan_product": sql(
-        "SELECT s.* FROM crm_sales_details s LEFT JOIN s_prd p ON SUBSTRING(p.prd_key, 7) = s.sls_prd_key "
+        "SELECT s.* FROM crm_sales_details s LEFT JOIN s_prd p ON RTRIM(SUBSTRING(p.prd_key, 7)) = RTRIM(s.sls_prd_key) "
         "WHERE p.prd_key IS NULL",
         "s_prd",
     ),
@@ -425,4 +485,6 @@ ORACLES: dict[str, str] = {
         gate("prd_cost <= 0", "s_prd_ci", "s_sales_ci", "g_prd_ci", "g_fact_ci"),
         "s_cust", "s_prd_ci", "s_sales_ci", "g_cust", "g_prd_ci", "g_fact_ci",
     ),
+    "dq_gate_literal": sql(gate("prd_cost <= 0", "s_prd", "s_sales", "g_prd", "g_fact"), *STAR),
+    "dq_gate_dirty": sql(f"SELECT * FROM results UNION ALL {VERDICT}", "results"),
 }

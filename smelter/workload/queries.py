@@ -26,6 +26,7 @@ from smelter.functions.cleansing import (
 from smelter.functions.dates import int_to_date
 from smelter.functions.keys import (
     category_id,
+    comparable,
     customer_key_of_dashed,
     customer_key_of_suffix,
     product_number,
@@ -38,7 +39,7 @@ from smelter.plans import bronze as load
 from smelter.plans import generic, gold, pipeline, quality, silver
 from smelter.plans.profiles import CI, PRODUCTION, Profile
 from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, FUTURE_COLUMN, SILVER, silver_schema
-from smelter.session import new_folder, run_together
+from smelter.session import run_together, shared_folder
 from smelter.sources.extracts import write_extract
 from smelter.sources.tables import Warehouse
 from smelter.workload.adapters import TIE, source, sources
@@ -47,6 +48,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FLAG_DATE = dt.date(2000, 1, 1)  # the test orders lie on both sides of it
 CHECK_DATE = dt.date(2026, 1, 1)
+LOADED_AT = dt.datetime(2026, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
 ERP = ("erp_cust_az12", "erp_loc_a101", "erp_px_cat_g1v2")
 
 QUERIES: dict[str, Query] = {}
@@ -82,13 +84,14 @@ def _dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dim_products(spark: SparkSession, sf_dir: str, profile: Profile = PRODUCTION, current: bool = False) -> DataFrame:
-    return gold.dim_products(_products(spark, sf_dir, profile), source(spark, sf_dir, "erp_px_cat_g1v2"), current)
+    categories = source(spark, sf_dir, "erp_px_cat_g1v2")
+    return gold.dim_products(_products(spark, sf_dir, profile), categories, current, profile.latest_products_only)
 
 
 def _warehouse(spark: SparkSession, label: str) -> Warehouse:
-    """An empty warehouse of its own, in the shared folder."""
-    folder = new_folder(spark, label)
-    warehouse = Warehouse(spark, folder, prefix=folder.rsplit("/", 1)[-1].replace("-", "_") + "_")
+    """An empty warehouse of one name per query, in the shared folder; what an earlier run left is dropped."""
+    warehouse = Warehouse(spark, f"{shared_folder(spark)}/{label}", prefix=f"{label}_")
+    warehouse.drop()
     warehouse.create_namespaces()
     return warehouse
 
@@ -119,12 +122,26 @@ def _records(tables: dict[str, DataFrame]) -> DataFrame:
 # ---- sources, sinks and tables -------------------------------------------------------------------------------
 
 
+def _write_extracts(spark: SparkSession, tables: dict[str, DataFrame], label: str) -> str:
+    base_path = f"{shared_folder(spark)}/{label}_extracts"
+    run_together(spark, [partial(write_extract, df, t, base_path) for t, df in tables.items()])
+    return base_path
+
+
 def _load_from_csv(spark: SparkSession, sf_dir: str, label: str) -> tuple[Warehouse, DataFrame]:
     warehouse = _warehouse(spark, label)
-    base_path = new_folder(spark, f"{label}_extracts")
     tables = {t: _declared(df, t) for t, df in sources(spark, sf_dir).items()}
-    run_together(spark, [partial(write_extract, df, t, base_path) for t, df in tables.items()])
-    return warehouse, load.load_bronze(warehouse, base_path)
+    return warehouse, load.load_bronze(warehouse, _write_extracts(spark, tables, label))
+
+
+def _load_broken(spark: SparkSession, sf_dir: str, label: str) -> tuple[Warehouse, DataFrame]:
+    """A load over an earlier one, with over-long customer names and one extract missing."""
+    warehouse = _store_bronze(spark, sf_dir, label)
+    tables = {t: _declared(df, t) for t, df in sources(spark, sf_dir).items() if t != "erp_loc_a101"}
+    customers = tables["crm_cust_info"]
+    long_name = F.when(F.pmod(F.col("cust_id"), F.lit(10)) == 0, F.repeat(F.lit("x"), 51)).otherwise(F.col("cust_firstname"))
+    tables["crm_cust_info"] = customers.withColumn("cust_firstname", long_name)
+    return warehouse, load.load_bronze(warehouse, _write_extracts(spark, tables, label), on_error="record")
 
 
 @query
@@ -136,9 +153,21 @@ def bronze_csv_roundtrip(spark, sf_dir):
 
 @query
 def load_audit(spark, sf_dir):
-    """What the load reports per table and for the batch, without its times."""
+    """What the load reports per table and for the batch; of its times, that they were taken."""
     _, audit = _load_from_csv(spark, sf_dir, "audit")
-    return audit.select("table_name", "rows_loaded", "rows_rejected", "status")
+    return audit.select("table_name", "rows_loaded", "rows_rejected", "status", (F.col("seconds") >= 0).alias("timed"))
+
+
+@query
+def load_audit_failed(spark, sf_dir):
+    """The same with broken rows and a missing extract, beside the rows that each table and the rejects then hold."""
+    warehouse, audit = _load_broken(spark, sf_dir, "failed")
+    held = {t: warehouse.read(BRONZE, t) for t in EXTRACTS}
+    counts = [df.agg(F.count(F.lit(1)).alias("rows_held")).withColumn("name", F.lit(t)) for t, df in held.items()]
+    rejects = load.load_rejects(warehouse).agg(F.count(F.lit(1)).alias("rows_held")).withColumn("name", F.lit("*"))
+    counts = reduce(DataFrame.unionByName, [*counts, rejects])
+    reported = audit.select("table_name", "rows_loaded", "rows_rejected", "status", "error_condition")
+    return reported.join(counts, reported.table_name == counts.name, "left").drop("name")
 
 
 @query
@@ -158,8 +187,8 @@ def silver_append(spark, sf_dir):
     warehouse = _warehouse(spark, "append")
     for table in ERP:
         warehouse.create_table(SILVER, table, silver_schema(table))
-        warehouse.append(SILVER, table, source(spark, sf_dir, table), EXTRACTS[table].columns[::-1])
-    return _records({t: warehouse.read(SILVER, t).drop(AUDIT_COLUMN) for t in ERP})
+        warehouse.append(SILVER, table, source(spark, sf_dir, table), EXTRACTS[table].columns[::-1], LOADED_AT)
+    return _records({t: warehouse.read(SILVER, t).select(*EXTRACTS[t].columns, AUDIT_COLUMN) for t in ERP})
 
 
 @query
@@ -236,7 +265,7 @@ def source_priority(spark, sf_dir):
     customers = _customers(spark, sf_dir)
     demographics = source(spark, sf_dir, "erp_cust_az12")
     erp = demographics.select(customer_key_of_suffix(F.col("cid")).alias("cust_key"), "gen")
-    return customers.join(erp, "cust_key", "left").select(
+    return customers.join(erp, comparable(customers["cust_key"]) == comparable(erp["cust_key"]), "left").select(
         "cust_id", known_or(F.col("cust_gender"), F.col("gen")).alias("gender")
     )
 
@@ -287,7 +316,7 @@ def latest_product(spark, sf_dir):
 def surrogate_key_(spark, sf_dir):
     """Keys for all orders, by their number."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    rows = orders.select(F.col("o_orderkey").cast("int").alias("id"), "o_custkey")
+    rows = orders.select(F.col("o_orderkey").alias("id"), "o_custkey")
     return surrogate_key(rows, "id", "surrogate_key")
 
 
@@ -313,6 +342,15 @@ def generic_clean_layer(spark, sf_dir):
     return _records(generic.clean_layer(_store_bronze(spark, sf_dir, "generic"), BRONZE, FLAG_DATE))
 
 
+@query
+def generic_clean_silver(spark, sf_dir):
+    """The same over stored silver tables, whose customers already have a flag; and a table that no extract declares."""
+    warehouse = _warehouse(spark, "generic_silver")
+    tables = _silver(spark, sf_dir) | {"nations": spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")}
+    run_together(spark, [partial(warehouse.overwrite, SILVER, t, df) for t, df in tables.items()])
+    return _records(generic.clean_layer(warehouse, SILVER, FLAG_DATE))
+
+
 @query
 def top_customers(spark, sf_dir):
     """The ten customers of lowest id, in id order."""
@@ -380,9 +418,9 @@ def dim_products_current(spark, sf_dir):
 
 def _star(spark: SparkSession, sf_dir: str, current: bool = False) -> dict[str, DataFrame]:
     tables = _silver(spark, sf_dir)
-    star = gold.gold_layer(tables)
+    star = gold.gold_layer(tables, unique_ids=True)
     if current:
-        star["dim_products"] = gold.dim_products(tables["crm_prd_info"], tables["erp_px_cat_g1v2"], True)
+        star["dim_products"] = gold.dim_products(tables["crm_prd_info"], tables["erp_px_cat_g1v2"], True, True)
         star["fact_sales"] = gold.fact_sales(tables["crm_sales_details"], star["dim_customers"], star["dim_products"])
     return star
 
@@ -467,6 +505,11 @@ def profile_values(spark, sf_dir):
     return quality.layer_profiles(sources(spark, sf_dir))
 
 
+@query
+def profile_values_silver(spark, sf_dir):
+    return quality.layer_profiles(_silver(spark, sf_dir))
+
+
 @query
 def dq_orphan_customer(spark, sf_dir):
     customers = _customers(spark, sf_dir)
@@ -481,12 +524,12 @@ def dq_orphan_product(spark, sf_dir):
 
 @query
 def dq_suite_bronze(spark, sf_dir):
-    return quality.suite_summary(quality.layer_checks(sources(spark, sf_dir), CHECK_DATE))
+    return quality.layer_summary(sources(spark, sf_dir), CHECK_DATE)
 
 
 @query
 def dq_suite_silver(spark, sf_dir):
-    return quality.suite_summary(quality.layer_checks(_silver(spark, sf_dir), CHECK_DATE))
+    return quality.layer_summary(_silver(spark, sf_dir), CHECK_DATE)
 
 
 @query
@@ -521,19 +564,35 @@ def dq_gold_ref_current(spark, sf_dir):
     return k.disconnected_facts(star["fact_sales"], star["dim_customers"], current)
 
 
-def _gate(spark: SparkSession, sf_dir: str, profile: Profile) -> DataFrame:
+def _gate(spark: SparkSession, sf_dir: str, profile: Profile, label: str, lowest_cost: int | None = None) -> DataFrame:
     """The gate over stored tables, as a run leaves them."""
-    warehouse = _store_bronze(spark, sf_dir, f"gate_{profile.name}")
+    warehouse = _store_bronze(spark, sf_dir, label)
     pipeline.build_silver(warehouse, FLAG_DATE, profile)
-    pipeline.build_gold(warehouse)
-    return quality.gate(spark, **pipeline.gate_tables(warehouse), as_of=CHECK_DATE, profile=profile)
+    pipeline.build_gold(warehouse, profile)
+    return quality.gate(spark, **pipeline.gate_tables(warehouse), as_of=CHECK_DATE, profile=profile, lowest_cost=lowest_cost)
 
 
 @query
 def dq_gate(spark, sf_dir):
-    return _gate(spark, sf_dir, PRODUCTION)
+    return _gate(spark, sf_dir, PRODUCTION, "gate")
 
 
 @query
 def dq_gate_ci(spark, sf_dir):
-    return _gate(spark, sf_dir, CI)
+    return _gate(spark, sf_dir, CI, "gate_ci")
+
+
+@query
+def dq_gate_literal(spark, sf_dir):
+    """The gate with the literal cost rule, which the production build's own default of zero breaks."""
+    return _gate(spark, sf_dir, PRODUCTION, "gate_literal", lowest_cost=1)
+
+
+@query
+def dq_gate_dirty(spark, sf_dir):
+    """The gate over raw tables in place of silver ones, with broken rows, a missing table and an empty one."""
+    warehouse, _ = _load_broken(spark, sf_dir, "gate_dirty")
+    raw = sources(spark, sf_dir)
+    gold_tables = {"dim_customers": None, "dim_products": raw["crm_prd_info"].filter("false"), "fact_sales": raw["crm_sales_details"]}
+    results = quality.gate(spark, raw, raw, gold_tables, CHECK_DATE, rejects=load.load_rejects(warehouse))
+    return results.unionByName(quality.failed_checks(results))

@@ -3,7 +3,8 @@ import os
 
 import pytest
 
-from smelter.plans.bronze import LoadFailed, load_audit, load_bronze
+from smelter.plans.bronze import LoadFailed, load_audit, load_bronze, load_rejects
+from smelter.plans.quality import gate
 from smelter.schemas import BRONZE, EXTRACTS
 from smelter.sources.extracts import write_extract
 
@@ -69,7 +70,7 @@ def test_load_is_a_full_refresh(warehouse, folder):
 def test_broken_rows_are_kept_apart(warehouse, folder):
     broken = ["x1,AW1,Ann,Lee,M,F,2013-01-05", "3,AW3,Cy,Fox,M,F,2013-99-05", "4,AW4,too,few", f"5,{'A' * 51},B,C,M,F,"]
     audit = load_bronze(warehouse, write(folder, {"crm_cust_info": LINES["crm_cust_info"] + broken}))
-    assert audit_rows(audit)["crm_cust_info"] == (2, 4, "LOADED")
+    assert audit_rows(audit)["crm_cust_info"] == (2, 4, "REJECTS")
     assert [r[0] for r in rows(warehouse, "crm_cust_info")] == [1, 2]
     rejects = {r.record: r.reason for r in warehouse.read(BRONZE, "load_rejects").collect()}
     assert set(rejects) == set(broken)
@@ -77,22 +78,37 @@ def test_broken_rows_are_kept_apart(warehouse, folder):
     assert rejects[broken[3]] == "cust_key over 50 characters"
 
 
-def test_too_many_broken_rows_fail_and_leave_the_table_empty(warehouse, folder):
+def test_many_broken_rows_leave_the_good_ones(warehouse, folder):
+    broken = [f"{i},not a date,Male" for i in range(11)]
+    write(folder, {"erp_cust_az12": ["A,1980-01-01,Male", *broken]})
+    audit = audit_rows(load_bronze(warehouse, folder))
+    assert audit["erp_cust_az12"] == (1, 11, "REJECTS") and audit["*"][1:] == (11, "REJECTS")
+    assert [r[0] for r in rows(warehouse, "erp_cust_az12")] == ["A"]
+    assert load_rejects(warehouse).count() == 11
+    results = gate(warehouse.spark, {}, {}, {}, rejects=load_rejects(warehouse))
+    assert results.filter("check_name = 'rejected rows'").first()["violations"] == 11
+
+
+def test_broken_rows_can_fail_their_table(warehouse, folder):
     write(folder, {"erp_cust_az12": ["A,1980-01-01,Male", "B,not a date,Male", "C,nor this,Male"]})
     with pytest.raises(LoadFailed, match="erp_cust_az12"):
-        load_bronze(warehouse, folder, max_errors=1)
+        load_bronze(warehouse, folder, on_reject="fail")
     audit = audit_rows(load_audit(warehouse))
-    assert audit["erp_cust_az12"][2] == "FAILED" and audit["*"][2] == "FAILED"
-    assert "erp_loc_a101" not in audit  # the load stopped
-    assert load_audit(warehouse).filter("error_condition = 'TooManyRejects'").count() == 1
+    assert audit["erp_cust_az12"] == (0, 2, "FAILED") and audit["*"][1:] == (2, "FAILED")
+    assert audit["erp_loc_a101"] == (2, 0, "LOADED")
+    assert load_audit(warehouse).filter("error_condition = 'RowsRejected'").count() == 1
     assert rows(warehouse, "erp_cust_az12") == []
-    assert warehouse.read(BRONZE, "load_rejects").count() == 2
+    assert load_rejects(warehouse).count() == 2
 
 
-def test_missing_file_is_recorded_and_the_rest_loaded(warehouse, folder):
-    audit = load_bronze(warehouse, write(folder, {"crm_sales_details": None}), on_error="record")
+def test_missing_file_is_recorded_and_the_rest_loaded(warehouse, folder, tmp_path):
+    load_bronze(warehouse, write(folder))
+    other = write(str(tmp_path), {"crm_sales_details": None})
+    audit = load_bronze(warehouse, other, on_error="record")
     got = audit_rows(audit)
     assert got["crm_sales_details"] == (0, 0, "FAILED")
+    assert rows(warehouse, "crm_sales_details") == []  # no rows of the load before
+    assert warehouse.read(BRONZE, "crm_sales_details").schema == EXTRACTS["crm_sales_details"].schema
     assert got["erp_px_cat_g1v2"] == (1, 0, "LOADED")
     assert got["*"] == (8, 0, "FAILED")
     failed = audit.filter("status = 'FAILED' AND table_name <> '*'").first()
@@ -103,6 +119,8 @@ def test_missing_file_is_recorded_and_the_rest_loaded(warehouse, folder):
 def test_on_error_is_checked(warehouse, folder):
     with pytest.raises(ValueError, match="on_error"):
         load_bronze(warehouse, folder, on_error="ignore")
+    with pytest.raises(ValueError, match="on_reject"):
+        load_bronze(warehouse, folder, on_reject="ignore")
 
 
 def test_written_extracts_load_again(warehouse, folder, tables):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from smelter.plans.generic import clean, clean_layer, key_column
 from smelter.plans.silver import silver_customers
-from smelter.schemas import BRONZE, EXTRACTS
+from smelter.schemas import BRONZE, EXTRACTS, SILVER
 
 DAY, LATER = dt.date(2013, 1, 1), dt.date(2014, 1, 1)
 
@@ -47,10 +47,20 @@ def test_rules_can_be_replaced(frame):
     assert found(clean(frame([(1, " x ")], "n INT, s STRING"), rules=rules)) == [(2, " x ")]
 
 
-def test_layer(warehouse, tables):
+def test_layer(warehouse, tables, frame):
     for t, df in tables.items():
         warehouse.overwrite(BRONZE, t, df)
-    warehouse.overwrite(BRONZE, "load_audit", tables["erp_loc_a101"])  # not an extract
+    warehouse.overwrite(BRONZE, "load_audit", tables["erp_loc_a101"])  # the load's own
+    warehouse.overwrite(BRONZE, "extra", frame([(" x ",)], "s STRING"))
     cleaned = clean_layer(warehouse, BRONZE, DAY)
-    assert set(cleaned) == set(EXTRACTS)
+    assert set(cleaned) == {*EXTRACTS, "extra"}
+    assert cleaned["extra"].first()["s"] == "x"
     assert cleaned["crm_cust_info"].columns[-1] == "cust_is_future"
+
+
+def test_silver_can_be_cleaned_and_stored_again(warehouse, silver):
+    for t, df in silver.items():
+        warehouse.overwrite(SILVER, t, df)
+    for t, df in clean_layer(warehouse, SILVER, DAY).items():
+        warehouse.overwrite(BRONZE, t, df)
+    assert warehouse.read(BRONZE, "crm_cust_info").columns.count("cust_is_future") == 1

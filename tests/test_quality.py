@@ -4,7 +4,7 @@ import pytest
 
 from smelter.operators import checks as k
 from smelter.plans.profiles import CI, PRODUCTION
-from smelter.plans.quality import GateFailed, gate, gold_checks, layer_checks, layer_profiles, suite_summary, verdict
+from smelter.plans.quality import GateFailed, gate, gold_checks, layer_checks, layer_profiles, layer_summary, suite_summary, verdict
 from smelter.plans.silver import silver_layer
 
 DAY = dt.date(2013, 6, 1)
@@ -70,6 +70,15 @@ def test_disconnected_facts(frame):
     assert found(k.disconnected_facts(fact, c, p)) == [("b", 1, 9, 0, 1), ("c", 9, 1, 1, 0), ("d", 9, 9, 1, 1)]
 
 
+def test_one_pass_per_table_counts_what_the_single_checks_find(tables, frame):
+    dirty = dict(tables)
+    dirty["crm_cust_info"] = dirty["crm_cust_info"].unionAll(dirty["crm_cust_info"].selectExpr("cust_id", "' x'", *[c for c in dirty["crm_cust_info"].columns[2:]]))
+    dirty["crm_sales_details"] = dirty["crm_sales_details"].unionAll(dirty["crm_sales_details"].selectExpr(*dirty["crm_sales_details"].columns[:5], "0", "0", "sls_quantity", "sls_price"))
+    want = found(suite_summary(layer_checks(dirty, DAY)))
+    assert found(layer_summary(dirty, DAY)) == want
+    assert sum(n for _, n in want) > 5
+
+
 def test_suite_finds_nothing_in_clean_tables(silver, gold):
     assert {n for _, n in found(suite_summary(layer_checks(silver, DAY)))} == {0}
     checks = gold_checks(gold["dim_customers"], gold["dim_products"], gold["fact_sales"])

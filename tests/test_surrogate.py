@@ -35,7 +35,7 @@ def test_equals_the_literal_window_over_many_cells(spark):
 
 @pytest.mark.parametrize("limit", [100, 100_000])
 def test_repeated_ids_get_dense_keys_within_the_literal_span(spark, monkeypatch, limit):
-    monkeypatch.setattr(surrogate, "CELL_LIMIT", limit)  # the table's one cell is hot, or not
+    monkeypatch.setattr(surrogate, "CELL_ROWS", limit)  # the table's one cell is divided, or not
     # a third of the rows hold one id
     df = spark.range(9_000).select(
         F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000).cast("int").alias("id"),
@@ -50,7 +50,7 @@ def test_repeated_ids_get_dense_keys_within_the_literal_span(spark, monkeypatch,
 @pytest.mark.parametrize("limit", [100, 100_000])
 def test_copies_are_counted_cut_into_chunks_and_restored(spark, monkeypatch, limit):
     monkeypatch.setattr(surrogate, "CHUNK", 16)
-    monkeypatch.setattr(surrogate, "CELL_LIMIT", limit)
+    monkeypatch.setattr(surrogate, "CELL_ROWS", limit)
     df = spark.range(2_000).select(
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 40).cast("int").alias("id"),
         F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise((F.col("id") % 4).cast("string")).alias("v"),
@@ -63,7 +63,7 @@ def test_copies_are_counted_cut_into_chunks_and_restored(spark, monkeypatch, lim
 
 
 def test_hot_and_ordinary_cells_side_by_side(spark, monkeypatch):
-    monkeypatch.setattr(surrogate, "CELL_LIMIT", 1_000)
+    monkeypatch.setattr(surrogate, "CELL_ROWS", 1_000)
     n = F.col("id")
     hot = [F.when(n % 5 == 0, F.lit(None)).when(n % 5 == 1, 70_000), F.when(n % 5 == 2, 70_001)]
     df = spark.range(12_000).select(F.coalesce(*hot, (n * 613 - 3_000_000)).cast("int").alias("id"), n.alias("v"))
@@ -73,12 +73,34 @@ def test_hot_and_ordinary_cells_side_by_side(spark, monkeypatch):
     assert spans(got) == spans(literal(df, "id"))
 
 
-def test_a_hot_id_is_spread_over_many_groups(spark, monkeypatch):
-    monkeypatch.setattr(surrogate, "CELL_LIMIT", 1_000)
-    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 9).otherwise(F.col("id")).cast("int").alias("id"), F.col("id").alias("v"))
-    rows = surrogate._chunked(df, ["id", "v"], None)
-    sizes = surrogate._placed(rows, ["id", "v"], "id").groupBy(*surrogate.GROUP).count()
-    assert sizes.agg(F.max("count")).first()[0] < 30
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_no_window_partition_is_over_the_limit(spark, monkeypatch, kind):
+    monkeypatch.setattr(surrogate, "CELL_ROWS", 500)
+    n = F.col("id")
+    df = spark.range(30_000).select(F.when(n % 3 == 0, 9).otherwise(n).cast(kind).alias("id"), n.alias("v"))
+    rows = surrogate._chunked(df, ["id", "v"], None).select("*", F.col("id").cast("bigint").alias("_slot"), F.xxhash64("id", "v", "_chunk").alias("_hash"))
+    cells = surrogate._cells(rows, 16)
+    assert all(c.rows <= 500 or c.single for c in cells)
+    sizes = surrogate._placed(rows, cells).groupBy("_cell", "_part").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2 * 500
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_limits_do_not_change_a_key(spark, monkeypatch, kind):
+    n = F.col("id")
+    df = spark.range(3_000).select(F.when(n % 3 == 0, 5).otherwise(n * n % 1000 - 300).cast(kind).alias("id"), (n % 700).alias("v"))
+    copies = collapse_copies(df, "n")
+    want = found(surrogate_key(copies, "id", "k", "n"))
+    for rows, bits, chunk in ((10, 16, 65536), (200, 3, 65536), (64, 5, 65536)):
+        for name, value in (("CELL_ROWS", rows), ("CELL_BITS", bits), ("CHUNK", chunk)):
+            monkeypatch.setattr(surrogate, name, value)
+        assert found(surrogate_key(copies, "id", "k", "n")) == want
+
+
+def test_bigint_ids_over_the_whole_range(frame):
+    ids = [None, -(2**63) + 1, 2**63 - 1, 0, -1, 2**40, 2**40 + 1, -(2**40), 7]
+    df = frame([(i, str(i)) for i in ids], "id BIGINT, v STRING")
+    assert found(surrogate_key(df, "id", "k")) == found(literal(df, "id"))
 
 
 def test_all_ids_null(frame):
@@ -90,21 +112,18 @@ def test_empty_table(frame):
     assert surrogate_key(frame([], "id INT, v STRING"), "id", "k").count() == 0
 
 
-def test_only_int_ids_are_taken(frame):
-    with pytest.raises(TypeError, match="INT"):
-        surrogate_key(frame([(1,)], "id BIGINT"), "id", "k")
+def test_only_whole_ids_are_taken(frame):
+    with pytest.raises(TypeError, match="whole number"):
+        surrogate_key(frame([("1",)], "id STRING"), "id", "k")
 
 
 def test_no_task_gets_the_whole_table(spark):
-    """Only the per-cell totals go to one task; the rows are hash-partitioned by id and split."""
+    """The rows are only shuffled by cell and part."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = spark.range(1000).select(F.col("id").cast("int"), F.col("id").cast("string").alias("v"))
         plan = surrogate_key(df, "id", "k")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    lines = plan.splitlines()
-    single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
-    assert len(single) == 1
-    assert "_cell_size" in lines[single[0] + 1]
+    assert "Exchange SinglePartition" not in plan and "Exchange hashpartitioning(_cell" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -1,10 +1,11 @@
 import datetime as dt
+import os
 
 import pytest
 
 from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, GOLD, SILVER, silver_schema
 from smelter.session import new_folder, shared_folder
-from smelter.sources.tables import with_default_column, with_load_time
+from smelter.sources.tables import with_load_time
 
 WHEN = dt.datetime(2024, 5, 6, 7, 8, 9)
 
@@ -68,11 +69,16 @@ def test_added_column_reads_as_its_default(warehouse, frame):
     assert sorted(tuple(r) for r in warehouse.read(SILVER, "t").collect()) == [(1, 0), (2, 1)]
 
 
-def test_frame_helpers(frame):
-    df = frame([(1,)], "a INT")
-    assert with_default_column(df, "flag", 0).first().flag == 0
-    assert with_default_column(df, "a", 0).first().a == 1
-    assert with_load_time(df, WHEN).first()[AUDIT_COLUMN] == WHEN
+def test_load_time(frame):
+    assert with_load_time(frame([(1,)], "a INT"), WHEN).first()[AUDIT_COLUMN] == WHEN
+
+
+def test_a_dropped_warehouse_leaves_nothing(warehouse, frame, folder):
+    warehouse.overwrite(SILVER, "t", frame([(1,)], "a INT"))
+    warehouse.drop()
+    assert not os.path.exists(f"{warehouse.location}/silver")
+    warehouse.create_namespaces()
+    assert warehouse.tables(SILVER) == []
 
 
 class Session:
@@ -82,18 +88,16 @@ class Session:
         self.conf = self
         self.settings = settings
 
-    def get(self, key, default):
+    def get(self, key, default=None):
         return self.settings.get(key.replace(".", "_"), default)
 
     def set(self, key, value):
         self.settings[key.replace(".", "_")] = value
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session(spark_master="spark://somewhere:7077"))
-    local = Session(spark_master="local[2]")
-    assert shared_folder(local) == shared_folder(local)
+def test_the_warehouse_holds_scratch_tables_where_no_folder_is_set():
+    for master in ("spark://somewhere:7077", "local[2]"):
+        assert shared_folder(Session(spark_master=master, spark_sql_warehouse_dir="/w/")) == "/w/_scratch"
 
 
 def test_the_cluster_s_folder_is_used_with_a_new_name_each_time():
