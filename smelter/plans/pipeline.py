@@ -49,20 +49,30 @@ def build_silver(
     store("crm_sales_details", silver_sales(bronze["crm_sales_details"], products, customers, profile))
 
 
+def rows_of(name: str) -> str:
+    """The stored table behind a gold view."""
+    return f"{name}_rows"
+
+
 def build_gold(warehouse: Warehouse, profile: Profile = PRODUCTION) -> None:
-    """Replace the gold tables: dimensions first, so the fact reads their keys; the fact in a folder per order year."""
+    """Replace the gold tables and the views that users query by name.
+
+    Dimensions come first, so the fact reads their keys; the fact is stored in a folder per order year. The views show the
+    described columns only.
+    """
     silver = {t: warehouse.read(SILVER, t) for t in EXTRACTS}
     dimensions = {
         "dim_customers": dim_customers(silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"]),
         "dim_products": dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"], unique_ids=profile.latest_products_only),
     }
-    run_together(warehouse.spark, [partial(warehouse.overwrite, GOLD, t, df) for t, df in dimensions.items()])
-    fact = fact_sales(
-        silver["crm_sales_details"], warehouse.read(GOLD, "dim_customers"), warehouse.read(GOLD, "dim_products")
-    )
+    run_together(warehouse.spark, [partial(warehouse.overwrite, GOLD, rows_of(t), df) for t, df in dimensions.items()])
+    stored = [warehouse.read(GOLD, rows_of(t)) for t in dimensions]
+    fact = fact_sales(silver["crm_sales_details"], *stored)
     # A rebalance on the year writes few files per folder; large years are split over several tasks.
     dated = fact.withColumn(ORDER_YEAR, F.year("order_date")).hint("rebalance", F.col(ORDER_YEAR))
-    warehouse.overwrite(GOLD, "fact_sales", dated, [ORDER_YEAR])
+    warehouse.overwrite(GOLD, rows_of("fact_sales"), dated, [ORDER_YEAR])
+    for name, df in {**dimensions, "fact_sales": fact}.items():
+        warehouse.create_view(GOLD, name, rows_of(name), df.columns)
 
 
 def gate_tables(warehouse: Warehouse) -> dict[str, dict[str, DataFrame | None]]:

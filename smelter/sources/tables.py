@@ -108,6 +108,11 @@ class Warehouse:
             *[row.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in target.fields]
         ).write.insertInto(self.name(layer, table))
 
+    def create_view(self, layer: str, view: str, table: str, columns: Sequence[str]) -> None:
+        """A persistent view of a stored table's columns, in place of one of that name."""
+        listed = ", ".join(f"`{c}`" for c in columns)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, view)} AS SELECT {listed} FROM {self.name(layer, table)}")
+
     def add_column(self, layer: str, table: str, column: str, data_type: str, default: str) -> bool:
         """Add a column unless it is there. Rows already stored read as ``default``; no file is rewritten."""
         if column in self.read(layer, table).columns:

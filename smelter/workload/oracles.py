@@ -405,6 +405,29 @@ ORACLES: dict[str, str] = {
         "JOIN g_prd USING (product_key) GROUP BY country, category",
         *STAR,
     ),
+    "gold_views": sql(
+        records(
+            {
+                "dim_customers": (
+                    "g_cust",
+                    ["customer_key", "customer_id", "customer_number", "first_name", "last_name_hash", "marital_status", "gender",
+                     "birth_date", "country", "customer_create_date", "cust_is_future"],
+                ),
+                "dim_products": (
+                    "g_prd",
+                    ["product_key", "product_id", "product_number", "product_name", "product_cost", "product_line",
+                     "CAST(product_start_date AS TIMESTAMP)", "CAST(product_end_date AS TIMESTAMP)", "category", "subcategory",
+                     "maintenance"],
+                ),
+                "fact_sales": (
+                    "g_fact",
+                    ["order_number", "customer_key", "product_key", "order_date", "ship_date", "due_date", "sales_amount", "quantity",
+                     "price"],
+                ),
+            }
+        ),
+        *STAR,
+    ),
     # quality
     "dq_key_customer": sql(REPEATED.format(key="cust_id", table="crm_cust_info") + " OR cust_id IS NULL"),
     "dq_key_product": sql(REPEATED.format(key="prd_id", table="crm_prd_info") + " OR prd_id IS NULL"),

@@ -38,7 +38,7 @@ from smelter.operators.surrogate import collapse_copies, surrogate_key
 from smelter.plans import bronze as load
 from smelter.plans import generic, gold, pipeline, quality, silver
 from smelter.plans.profiles import CI, PRODUCTION, Profile
-from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, FUTURE_COLUMN, SILVER, silver_schema
+from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, FUTURE_COLUMN, GOLD, GOLD_OBJECTS, SILVER, silver_schema
 from smelter.session import run_together, shared_folder
 from smelter.sources.extracts import write_extract
 from smelter.sources.tables import Warehouse
@@ -442,6 +442,15 @@ def star_report(spark, sf_dir):
     return gold.sales_by_country_and_category(star["fact_sales"], star["dim_customers"], star["dim_products"])
 
 
+@query
+def gold_views(spark, sf_dir):
+    """The three gold objects, read by name after a run over stored layers."""
+    warehouse = _store_bronze(spark, sf_dir, "views")
+    pipeline.build_silver(warehouse, FLAG_DATE)
+    pipeline.build_gold(warehouse)
+    return _records({t: spark.sql(f"SELECT * FROM {warehouse.name(GOLD, t)}") for t in GOLD_OBJECTS})
+
+
 # ---- quality -------------------------------------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ import tempfile
 import pytest
 
 from smelter.__main__ import main
-from smelter.plans.pipeline import build_silver, run_pipeline
+from smelter.plans.pipeline import build_silver, rows_of, run_pipeline
 from smelter.plans.profiles import CI
 from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, GOLD, GOLD_OBJECTS, SILVER
 from smelter.sources.extracts import write_extract
@@ -43,7 +43,8 @@ def test_run(stored):
 
 
 def test_fact_is_stored_by_order_year(stored):
-    fact = stored[0].read(GOLD, "fact_sales")
+    fact = stored[0].read(GOLD, rows_of("fact_sales"))
+    assert "order_year" not in stored[0].read(GOLD, "fact_sales").columns
     plan = fact.filter("order_year = 2013")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_year" in plan
     assert sorted((r.order_number, r.order_year) for r in fact.collect()) == [
