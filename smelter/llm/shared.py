@@ -30,7 +30,7 @@ def small_side(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
     Counts the rows, so hand in something stored.
     """
-    return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
+    return F.broadcast(keys) if keys.count() <= rows else keys
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -54,7 +54,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     state = stored(queries.select("query_id", (-bound).alias("low"), (2 * bound + 1).alias("span"), F.lit(k).cast("long").alias("wanted")), "state")
 
     blocks = _blocks(vectors, is_query, facts["n"], facts["queries"])
-    while state.filter("span > 1").limit(1).count():
+    while not state.filter("span > 1").isEmpty():
         counted = _in_blocks(blocks, state, _counting(facts["width"] or 0), "query_id long, cell int, n long")
         state = stored(_refined(state, counted), "state")
     best = _in_blocks(blocks, state, _choosing(facts["width"] or 0, k), "query_id long, vec_id long, score long")
