@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from smelter.llm.shared import stored
@@ -19,17 +19,23 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """
     ends = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter(F.col("u").isNotNull() & F.col("v").isNotNull())
     nodes = stored(ends.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "nodes")
-    edges = stored(_downward(ends), "edges")
-    seen = _fingerprint(edges)
+    edges, seen = _stored(_downward(ends))
     while seen[0]:
-        edges = stored(_small_star(_large_star(edges)), "edges")
-        now = _fingerprint(edges)
+        edges, now = _stored(_small_star(_large_star(edges)))
         if now == seen:
             break
         seen = now
     return nodes.join(edges, nodes["node"] == edges["u"], "left").select("node", F.coalesce("v", "node").alias("component"))
 
 
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The links, written and read again; their number and an order-free sum over them, equal only if the links are."""
+    seen = Observation()
+    total = F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    edges = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), total.alias("total")), "edges")
+    return edges, (seen.get["n"], int(seen.get["total"]))
+
+
 def _downward(pairs: DataFrame) -> DataFrame:
     """Distinct links from the larger to the smaller end."""
     return pairs.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -46,8 +52,3 @@ def _small_star(edges: DataFrame) -> DataFrame:
     joined = edges.join(least, "u")
     return _downward(joined.select(F.col("v").alias("u"), F.col("least").alias("v")).unionByName(least.select("u", F.col("least").alias("v"))))
 
-
-def _fingerprint(edges: DataFrame) -> tuple[int, int]:
-    """Number of links and an order-free sum over them: equal only if the links are."""
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return row[0], int(row[1] or 0)
