@@ -2,9 +2,10 @@
 
 Every document has two histograms: characters by class, and common words of the languages below, all other words in one
 cell. Their sums over all documents of a language, as the table names it, are the language's reference. A document is
-rejected if the Jensen-Shannon distance (base 2, 0 to 1) of either histogram to its reference exceeds a limit. The guards:
-short texts are rejected by the base rules and never reach the comparison, and a language with fewer than
-``LEAST_REFERENCE`` words isn't compared with.
+rejected if the Jensen-Shannon distance (base 2, 0 to 1) of either histogram to its reference exceeds a limit. That of
+words is ``WORD_PART`` of the distance that a text without any common word has, so it follows how common the words are in
+the language; one in which they are rarer than ``LEAST_COMMON`` has ``WORD_LIMIT``. The guards: short texts are rejected by
+the base rules and never reach the comparison, and a language with fewer than ``LEAST_REFERENCE`` words isn't compared with.
 
 All of it is built from DataFrame functions. A document's words, windows and lines stay in its row; only the references,
 one row per language, are added up over rows.
@@ -25,7 +26,9 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50
 LEAST_REFERENCE = 1000
 CLASS_LIMIT = 0.3
-WORD_LIMIT = 0.5
+WORD_PART = 0.8
+WORD_LIMIT = 0.28
+LEAST_COMMON = 0.1
 LANGUAGES = 10_000
 #: Frequent words of English, French, German and Spanish.
 COMMON = (
@@ -101,13 +104,16 @@ def _repeated_words(words: Column) -> Column:
 
 
 def references(facts: DataFrame) -> DataFrame:
-    """Both histograms' sums per language."""
+    """Both histograms' sums per language, and the limit of the words' distance."""
     n_classes, n_words = len(CLASSES) + 4, len(COMMON) + 1
     sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(n_classes)] + [F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(n_words)]
     per_language = facts.groupBy("lang").agg(*sums)
     classes = F.array(*[f"c{i}" for i in range(n_classes)])
     words = F.array(*[f"w{i}" for i in range(n_words)])
-    return per_language.select(F.col("lang").alias("reference"), classes.alias("reference_classes"), words.alias("reference_common"))
+    common_words = _total(words) - F.col(f"w{n_words - 1}") >= _total(words) * LEAST_COMMON
+    without = F.lit([0] * (n_words - 1) + [1]).cast("array<long>")
+    limit = F.when(common_words, distance(without, words) * WORD_PART).otherwise(F.lit(WORD_LIMIT))
+    return per_language.select(F.col("lang").alias("reference"), classes.alias("reference_classes"), words.alias("reference_common"), limit.alias("word_limit"))
 
 
 def _total(cells: Column) -> Column:
@@ -147,8 +153,8 @@ def compared(docs: DataFrame) -> DataFrame:
     long_enough = ~F.col("base_failed") & (_total(F.col("reference_common")) >= LEAST_REFERENCE)
     by_class, by_word = (F.when(long_enough, distance(F.col(c), F.col(f"reference_{c}"))) for c in ("classes", "common"))
     base = ["text_key", "text_key_2", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    measured = joined.select(*base, by_class.alias("class_distance"), by_word.alias("word_distance"))
-    fine = (F.coalesce("class_distance", F.lit(0.0)) <= CLASS_LIMIT) & (F.coalesce("word_distance", F.lit(0.0)) <= WORD_LIMIT)
+    measured = joined.select(*base, by_class.alias("class_distance"), by_word.alias("word_distance"), "word_limit")
+    fine = (F.coalesce("class_distance", F.lit(0.0)) <= CLASS_LIMIT) & F.coalesce(F.col("word_distance") <= F.col("word_limit"), F.lit(True))
     return measured.select(*base, (~F.col("base_failed") & fine).alias("kept"), "class_distance", "word_distance")
 
 

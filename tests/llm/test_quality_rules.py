@@ -64,6 +64,19 @@ def test_texts_far_from_their_language_are_rejected(judged_docs):
     assert not kept.pop(100) and not kept.pop(101) and all(kept.values())
 
 
+def test_texts_without_common_words_are_rejected(spark, rng_words):
+    import random
+
+    rng = random.Random(6)
+    rare = [w for w in rng_words(rng, 20_000) if w not in rules.COMMON]
+    good = [(i, " ".join(rng.choice(rules.COMMON[:15]) if rng.random() < 0.22 else rng.choice(rare) for _ in range(150)), "en") for i in range(80)]
+    other = [(300 + i, " ".join(rng.choices(rare, k=150)), "yy") for i in range(20)]  # a language that has none of these words
+    found = {r["doc_id"]: r for r in quality(spark.createDataFrame([*good, (100, " ".join(rng.choices(rare, k=150)), "en"), *other], "doc_id LONG, text STRING, lang STRING")).collect()}
+    junk = found.pop(100)
+    assert not junk["base_failed"] and junk["class_distance"] < rules.CLASS_LIMIT and not junk["kept"]
+    assert all(r["kept"] for r in found.values())
+
+
 def test_kept_documents_have_their_columns(judged_docs, docs, no_docs, clashing):
     kept = kept_documents(clashing(judged_docs))
     assert kept.columns == clashing(judged_docs).columns
