@@ -9,9 +9,10 @@ and a word's share of its class is (count + 1) / (words + distinct words + 1) of
 unknown words. Both factors are normalised, so scores are log-probabilities.
 
 Training sees every training text. Words are counted over all of them. Then each task counts the class triples of its
-texts, which is all that the gradient needs; over several rounds each task's counts train a copy of the parameters on
-samples in proportion to the counts, against noise drawn from the class frequencies, and the copies are averaged by
-tokens. Parameters and counts per task are bounded by the number of classes; steps grow with the tokens.
+texts, which is all that the gradient needs; in each of several rounds a task's counts train a copy of the parameters by
+whole passes over all its triples, each with the weight of its count, against noise drawn from the class frequencies, and
+the copies are averaged by tokens. A task with few triples makes several passes a round. Parameters and counts per task are
+bounded by the number of classes; steps grow with the distinct triples.
 
 Scoring computes the table of normalised log-probabilities of all contexts by one matrix product per block of contexts,
 and looks every token up. The counts of the ``KNOWN_WORDS`` most frequent words travel with the tasks; the words beyond
@@ -43,10 +44,10 @@ CLASSES = OWN + ENDINGS
 WIDTH = 16
 KNOWN_WORDS = 1 << 18
 ROUNDS = 3
-BATCH = 4096
+BATCH = 512
 NOISE = 64
-TOKENS_PER_STEP = 40_000
-LEAST_STEPS = 60
+LEAST_STEPS = 480  # of a round, in whole passes
+HEAVY = 4
 RATE = 0.15
 PUNCTUATION = np.isin(np.arange(256), [ord(c) for c in ".,;:!?\"')("])
 
@@ -189,24 +190,36 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _batches(codes: np.ndarray, counts: np.ndarray, draw: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Whole passes over the triples in random order, with weights in proportion to their counts; 1 a batch on average.
+
+    A triple of over ``HEAVY`` times the mean count is spread over several places, so that no batch hangs on one.
+    """
+    places = np.ceil(counts / (HEAVY * counts.mean())).astype(np.int64)
+    codes, weights = np.repeat(codes, places), np.repeat(counts / places, places)
+    steps = -(-len(codes) // BATCH)
+    weights = (weights * (steps / weights.sum())).astype(np.float32)
+    for _ in range(-(-LEAST_STEPS // steps)):
+        for at in np.array_split(draw.permutation(len(codes)), steps):
+            yield codes[at], weights[at]
+
+
 def trained(parameters: np.ndarray, noise: np.ndarray, codes: np.ndarray, counts: np.ndarray, seed: int) -> np.ndarray:
-    """Noise-contrastive steps on samples of the triples, with adaptive rates."""
+    """Noise-contrastive steps through all triples, with adaptive rates."""
     draw = np.random.default_rng(seed)
     parts = [x.astype(np.float32) for x in _parts(parameters)]
     r, v, a, b, bias = parts
     squares = [np.full_like(x, 1e-6) for x in parts]
-    upto = np.cumsum(counts)
     log_noise = np.log(noise * NOISE).astype(np.float32)
-    rows = np.arange(BATCH)
-    for _ in range(max(LEAST_STEPS, int(upto[-1] // TOKENS_PER_STEP))):
-        code = codes[np.searchsorted(upto, draw.integers(upto[-1], size=BATCH), "right")]
+    for code, weight in _batches(codes, counts, draw):
         two, one, word = code // CLASSES**2, code // CLASSES % CLASSES, code % CLASSES
+        rows = np.arange(len(code))
         other = draw.choice(CLASSES, size=NOISE, p=noise)
         context = a * r[one] + b * r[two]
-        true = _sigmoid((context * v[word]).sum(1) + bias[word] - log_noise[word]) - 1
-        false = _sigmoid(context @ v[other].T + bias[other] - log_noise[other])
+        true = weight * (_sigmoid((context * v[word]).sum(1) + bias[word] - log_noise[word]) - 1)
+        false = weight[:, None] * _sigmoid(context @ v[other].T + bias[other] - log_noise[other])
         of_context = true[:, None] * v[word] + false @ v[other]
-        hot = np.zeros((3, BATCH, CLASSES), dtype=np.float32)
+        hot = np.zeros((3, len(code), CLASSES), dtype=np.float32)
         hot[0, rows, word] = hot[1, rows, one] = hot[2, rows, two] = 1
         of_v = hot[0].T @ (true[:, None] * context)
         np.add.at(of_v, other, false.T @ context)
@@ -215,7 +228,7 @@ def trained(parameters: np.ndarray, noise: np.ndarray, codes: np.ndarray, counts
         of_r = hot[1].T @ (of_context * a) + hot[2].T @ (of_context * b)
         gradients = (of_r, of_v, (of_context * r[one]).sum(0), (of_context * r[two]).sum(0), of_bias)
         for x, s, g in zip(parts, squares, gradients, strict=True):
-            g = (g / BATCH).astype(np.float32)
+            g = g.astype(np.float32)
             s += g * g
             x -= RATE * g / np.sqrt(s)
     return np.concatenate([x.ravel() for x in parts]).astype(np.float64)

@@ -50,6 +50,16 @@ def test_training_learns_which_class_follows():
     assert np.mean([found[b, a, (a + 1) % 10] for a in range(10) for b in range(10)]) > -0.7
 
 
+def test_every_triple_is_trained_on():
+    rare = np.arange(1, CLASSES)
+    codes, counts = np.append(0, rare * CLASSES**2 + 1), np.append(1_000_000, np.ones(len(rare), dtype=np.int64))
+    noise = np.full(CLASSES, 1 / CLASSES)
+    before = initial(noise)
+    vectors = slice(0, CLASSES * scoring.WIDTH)
+    moved = (trained(before, noise, codes, counts, 1)[vectors] != before.astype(np.float32)[vectors]).reshape(CLASSES, scoring.WIDTH)
+    assert moved.any(axis=1).all()
+
+
 def test_shares_of_a_class_are_normalised(docs):
     counted = scoring.word_counts(docs.select("text"))
     vocab = scoring.vocabulary(counted)
