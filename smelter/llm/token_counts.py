@@ -2,7 +2,8 @@
 
 The count at the end of a piece is the count at the end of the piece before it, plus the piece's own. The table of a
 document holds the byte place and the count for every piece's end, so that length, truncation and budget questions are
-answered from it without encoding the text again. Counts are those of the library for the text cut at that place.
+answered from it without encoding the text again. A piece of more than ``LONGEST_REMEMBERED`` bytes, as texts without white
+space are, has an entry at the ends of its tokens too. Counts are those of the library for the text cut at that place.
 
 Null texts are empty: no bytes, no tokens, empty table. Ids and repeated rows pass through, extra columns aren't read.
 """
@@ -17,24 +18,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.shared import map_batches, needed
-from smelter.llm.tokens import memory, units
+from smelter.llm.tokens import LONGEST_REMEMBERED, is_byte_level, memory, token_ends, units
 from smelter.llm.words import text_bytes
 
 ROWS = 500
 
 
 def prefix_table(text: bytes, tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ends of the pieces in bytes, and the token count of the text up to each."""
-    pieces = units(text)
-    counts = memory(tokenizer, "count", len).of(pieces)
-    return np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), np.cumsum(np.fromiter(counts, np.int64, len(pieces)))
+    """Ends of the pieces, and of the tokens in long ones, in bytes, and the token count of the text up to each."""
+    pieces, known = units(text), memory(tokenizer, "count", len)
+    sizes, counts = np.fromiter(map(len, pieces), np.int64, len(pieces)), np.fromiter(known.of(pieces), np.int64, len(pieces))
+    ends, totals = np.cumsum(sizes), np.cumsum(counts)
+    long = np.flatnonzero(sizes > LONGEST_REMEMBERED)
+    if not len(long) or not is_byte_level(tokenizer):
+        return ends, totals
+    table, done = [], 0
+    for i in long:
+        places, n = token_ends(pieces[i], known.tokenizer, int(counts[i]))
+        table += [(ends[done:i], totals[done:i]), (ends[i] - sizes[i] + places, totals[i] - counts[i] + n)]
+        done = i + 1
+    table.append((ends[done:], totals[done:]))
+    return np.concatenate([x for x, _ in table]), np.concatenate([x for _, x in table])
 
 
 def tokens_up_to(text: bytes, place: int, table: tuple[np.ndarray, np.ndarray], tokenizer: str) -> int:
-    """Token count of ``text[:place]``: looked up, and only the piece that the place cuts is encoded."""
+    """Token count of ``text[:place]``: looked up, or if the table hasn't the place, with the piece that it cuts encoded."""
     ends, counts = table
     at = int(np.searchsorted(ends, place, "right"))
     start, before = (int(ends[at - 1]), int(counts[at - 1])) if at else (0, 0)
+    if start < place and at < len(ends):  # the entry before may lie inside the piece
+        start = max(x for x in np.cumsum([0, *map(len, units(text))]).tolist() if x <= place)
+        before = int(counts[np.searchsorted(ends, start)]) if start else 0
     return before + (sum(memory(tokenizer, "count", len).of([text[start:place]])) if place > start else 0)
 
 
@@ -62,7 +76,7 @@ def whole(counts: Column) -> Column:
 
 
 def bytes_within(ends: Column, counts: Column, budget: int) -> Column:
-    """Length in bytes of the longest run of whole pieces, from the start, with at most ``budget`` tokens."""
+    """Length in bytes of the longest run of whole entries, from the start, with at most ``budget`` tokens."""
     return F.coalesce(F.try_element_at(ends, F.nullif(F.size(F.filter(counts, lambda c: c <= budget)), F.lit(0))), F.lit(0).cast("long"))
 
 

@@ -12,12 +12,16 @@ import os
 import re
 from collections.abc import Callable, Iterable
 
+import numpy as np
 import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives each worker one core
 
 #: White space, for the tokenizers, beyond blank and 0x09-0x0D; and control characters that some libraries add to it.
 RARE_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+#: Runs of all of these; white space for every library is what isn't among ``UNCERTAIN``.
+MIXED_SPACE = re.compile(rb"(?:[ \t-\r]|" + RARE_SPACE.pattern + rb")+")
+UNCERTAIN = re.compile(rb"[\x1c-\x1f]|\xc2\x85")
 UNIT = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 #: Visible ASCII and the letters of Latin-1, after white space: no library differs on their case, class or composition.
 PLAIN = re.compile(rb"[ \t-\r]*(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
@@ -126,7 +130,40 @@ def memory(name: str, kind: str, value: Callable) -> Memory:
 def units(text: bytes) -> list[bytes]:
     """Pieces that byte-level tokenizers treat independently: white space with the word after it.
 
-    No pattern of theirs reaches over the end of a word into white space. Rare white space at a word's end would join
-    the run after it, so a text that has any is one piece.
+    No pattern of theirs reaches over the end of a word into white space. Rare white space belongs to the run that it
+    stands in; a run that begins with a character that isn't white space to every library doesn't end a word.
     """
-    return [text] if RARE_SPACE.search(text) else UNIT.findall(text)
+    if not RARE_SPACE.search(text):
+        return UNIT.findall(text)
+    cuts = [m.start() for m in MIXED_SPACE.finditer(text) if m.start() and not UNCERTAIN.match(text, m.start())]
+    return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+
+
+_byte_level: dict[str, bool] = {}
+
+
+def is_byte_level(name: str) -> bool:
+    """A vocabulary of plain byte pairs: a token's text has one character per byte, and a text's first tokens are those of
+    the text cut after them, as no merge crosses the end of a token."""
+    if name not in _byte_level:
+        with open(_place(name), encoding="utf-8") as file:
+            content = json.load(file)
+        model, cut = content["model"], content["pre_tokenizer"] or {}
+        odd = any(model.get(x) for x in ("ignore_merges", "end_of_word_suffix", "continuing_subword_prefix", "dropout")) or content["normalizer"] or cut.get("add_prefix_space")
+        _byte_level[name] = model["type"] == "BPE" and cut.get("type") == "ByteLevel" and not odd
+    return _byte_level[name]
+
+
+def token_ends(piece: bytes, tokenizer, count: int) -> tuple[list[int], list[int]]:
+    """Places in a piece where it can be cut, and the tokens up to each: ends of tokens and characters, the piece's included.
+
+    Left out are places after white space and apostrophes, where the library's patterns look at what follows.
+    """
+    places = np.cumsum([len(x) for x in tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).tokens]).tolist()
+    if len(places) != count or places[-1] != len(piece):  # not UTF-8
+        return [len(piece)], [count]
+    in_space = np.zeros(len(piece), dtype=bool)
+    for m in MIXED_SPACE.finditer(piece):
+        in_space[m.start() : m.end()] = True
+    inner = [(x, i + 1) for i, x in enumerate(places[:-1]) if piece[x] & 0xC0 != 0x80 and not in_space[x - 1] and b"'" not in piece[max(x - 3, 0) : x]]
+    return [x for x, _ in inner] + [len(piece)], [n for _, n in inner] + [count]

@@ -37,5 +37,25 @@ def test_budgets_are_answered_from_the_table(spark):
     assert len(library.encode(longer, add_special_tokens=False).ids) > 100
 
 
+RARE = ["le mot\u00a0: the of\u00a0\u00a0 and  \u3000x !\x1c y\x1c\u2009 z\u0085 q", "日本語の文章、中国語。" * 12 + "\u00a0\u3000 'll'll" + "漢字かな" * 20]
+
+
+@pytest.mark.parametrize("text", [*TEXTS, *RARE])
+def test_every_entry_of_a_table_has_the_library_s_count(text):
+    library, raw = load(NAME), text.encode()
+    for i in range(len(text) + 1):
+        place = len(text[:i].encode())
+        assert tokens_up_to(raw, place, prefix_table(raw, NAME), NAME) == len(library.encode(text[:i], add_special_tokens=False).ids)
+    for end, count in zip(*prefix_table(raw, NAME), strict=True):
+        assert count == len(library.encode(raw[:end].decode(), add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("text", ["un mot\u00a0: " * 400, "日本語の文章中国語漢字" * 200])
+def test_rare_white_space_and_unspaced_texts_fill_their_budget(spark, text):
+    row = token_counts(spark.createDataFrame([(1, text)], "doc_id LONG, text STRING")).first()
+    kept = text.encode()[: row["bytes_in_limit"]].decode()
+    assert 500 < len(load(NAME).encode(kept, add_special_tokens=False).ids) <= 512 < row["n_tokens"]
+
+
 def test_an_empty_table_has_no_counts(no_docs):
     assert token_prefixes(no_docs).collect() == [] == token_counts(no_docs).collect()
