@@ -65,12 +65,18 @@ def plain_form(url: Column) -> Column:
     return F.coalesce(F.when(url.contains("://"), plain).otherwise(url), F.lit(""))
 
 
-def named_address(html: Column, url: Column) -> Column:
-    """The address that a page names as its canonical one, or else redirects to; null if none."""
+def named_addresses(html: Column, url: Column) -> tuple[Column, Column]:
+    """The addresses that a page names as its canonical one and redirects to, each null if there is none."""
     link = F.regexp_extract(html, r"(?i)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1)
     canonical = F.regexp_extract(link, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    refresh = F.regexp_extract(html, r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    target = F.coalesce(F.nullif(canonical, F.lit("")), F.nullif(refresh, F.lit("")))
+    meta = F.regexp_extract(html, r"(?i)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)", 1)
+    content = F.regexp_extract(meta, r"(?i)(?<![\w-])content\s*=\s*(\"[^\"]*\"|'[^']*'|[^>]*)", 1)
+    refresh = F.regexp_extract(content, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    return _absolute(canonical, url), _absolute(refresh, url)
+
+
+def _absolute(address: Column, url: Column) -> Column:
+    target = F.nullif(address, F.lit(""))
     site = F.regexp_extract(url, "(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(path_of(url), "(?s)^(.*/)", 1)
     return (
@@ -83,19 +89,23 @@ def named_address(html: Column, url: Column) -> Column:
 
 def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict`` per page."""
-    rows = needed(pages, {"page_id": "long", "url": "string", "html": "string"}).withColumn("target", named_address(F.col("html"), F.col("url")))
-    named = F.col("target")
+    rows = needed(pages, {"page_id": "long", "url": "string", "html": "string"})
+    canonical, refresh = named_addresses(F.col("html"), F.col("url"))
+    rows = rows.withColumn("canonical", canonical).withColumn("refresh", refresh)
     rule, action = fitting_rule(host_of(F.col("url")), path_of(F.col("url")), rules)
-    _, target_action = fitting_rule(host_of(named), path_of(named), rules)
+    targets = []
+    for named in (F.col("canonical"), F.col("refresh")):
+        _, target_action = fitting_rule(host_of(named), path_of(named), rules)
+        targets.append(F.when(named.isNotNull(), F.struct(plain_form(named).alias("target"), target_action.alias("target_action"))))
     facts = rows.select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), rule.alias("rule"), action.alias("action"),
-        plain_form(F.col("url")).alias("node"), F.when(named.isNotNull(), plain_form(named)).alias("target"), F.when(named.isNotNull(), target_action).alias("target_action"),
+        plain_form(F.col("url")).alias("node"), F.array_compact(F.array(*targets)).alias("targets"),
     )
     facts = stored(facts, "urls")
 
-    links = facts.filter(F.col("target").isNotNull() & (F.col("target") != F.col("node"))).select("node", "target")
-    classes = components(links, "node", "target")
-    decided = facts.select("node", "action").unionByName(facts.filter("target is not null").select(F.col("target").alias("node"), F.col("target_action").alias("action")))
+    named = facts.select("node", F.explode("targets").alias("x")).select("node", "x.target", "x.target_action")
+    classes = components(named.filter(F.col("target") != F.col("node")).select("node", "target"), "node", "target")
+    decided = facts.select("node", "action").unionByName(named.select(F.col("target").alias("node"), F.col("target_action").alias("action")))
     per_node = decided.groupBy("node").agg(F.max(F.col("action") == ALLOW).alias("allowed"), F.max(F.col("action") == BLOCK).alias("blocked"))
     per_node = per_node.join(classes, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "allowed", "blocked")
     per_class = per_node.groupBy("component").agg(F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked"))

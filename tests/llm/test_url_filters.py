@@ -56,6 +56,20 @@ def test_blocks_reach_aliases_and_allowing_rules_win(spark):
     assert [verdicts[k] for k in range(1, 10)] == ["block", "block", "block", "block", "allow", "allow", "allow", "allow", "block"]
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        LINK.format("https://m.net/x") + REFRESH.format("https://b.com/de/1"),
+        LINK.format("https://n.net/y") + REFRESH.format("https://b.com/de/1"),
+        '<meta content="0;url=https://b.com/de/1" http-equiv="refresh">',
+        "<META content='5; URL=https://b.com/de/1' name=x HTTP-EQUIV=Refresh>" + LINK.format("/x"),
+    ],
+)
+def test_canonical_addresses_and_redirects_both_link(spark, html):
+    rows = [(1, "https://m.net/x", html), (2, "https://b.com/de/1", None), (3, "https://n.net/y", None)]
+    assert judge(spark, rows) == {1: (None, "block"), 2: ("com/de/", "block"), 3: (None, "block" if "n.net" in html else "allow")}
+
+
 def test_many_aliases_of_one_page(spark):
     rows = [(i, f"https://m{i}.net/", LINK.format("https://b.com/de/1")) for i in range(200)]
     assert set(judge(spark, rows).values()) == {(None, "block")}
