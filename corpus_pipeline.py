@@ -15,7 +15,7 @@ from smelter.llm.mixing import mix
 from smelter.llm.ngram_join import jaccard_components
 from smelter.llm.packing import pack
 from smelter.llm.quality_rules import kept_documents
-from smelter.llm.shared import free_names, small_side, stored
+from smelter.llm.shared import free_names, needed, small_side, stored
 from smelter.session import new_folder
 
 
@@ -27,12 +27,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id: five words, 0.8.
 
-    A document without id is in no group and stays. Of rows that repeat an id, all stay if the id does.
+    Rows are compared by a key of their own, so rows that repeat an id, or have none, are documents like all others; of a
+    group's rows with the smallest id one stays, and one without id only if none has an id.
     """
-    (node,) = free_names(docs, "group_node")
-    groups = jaccard_components(docs, width=5, p=80, q=100).filter("doc_id <> component_id")
-    others = stored(groups.select(F.col("doc_id").alias(node)).distinct(), "others")
-    return docs.join(small_side(others), docs["doc_id"] == others[node], "left_anti")
+    key, other = free_names(docs, "row_key", "group_node")
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    keyed = needed(rows, {key: "long", "text": "string"}).withColumnRenamed(key, "doc_id")
+    groups = stored(jaccard_components(keyed, width=5, p=80, q=100).select("doc_id", "component_id"), "groups")
+    # A component's own node is in it, so the groups of several rows are those of the others.
+    several = groups.filter("doc_id <> component_id").select("component_id").distinct()
+    ids = needed(rows, {key: "long", "doc_id": "long"}).select(F.col(key).alias("row"), F.col("doc_id").alias("id"))
+    members = groups.join(several, "component_id").select("component_id", F.col("doc_id").alias("row")).join(ids, "row")
+    members = stored(members.select("component_id", "row", F.struct(F.col("id").isNull().alias("none"), "id", "row").alias("rank")), "members")
+    stay = members.groupBy("component_id").agg(F.min("rank")["row"].alias("stays"))
+    others = stored(members.join(stay, "component_id").filter("row <> stays").select(F.col("row").alias(other)), "others")
+    return rows.join(small_side(others), rows[key] == others[other], "left_anti").drop(key)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

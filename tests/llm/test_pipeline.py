@@ -20,6 +20,16 @@ def test_stages_keep_the_columns_and_take_effect(spark, docs, clashing):
     assert counts[0] < docs.count() and counts[1] < counts[0]
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(spark, rng_words):
+    import random
+
+    a, b, c, d = (" ".join(rng_words(random.Random(i), 80)) for i in range(4))
+    texts = [(3, a), (3, a), (8, a + " end"), (None, a), (None, b), (None, b), (None, b + " end"), (9, c), (5, c), (5, d), (7, None), (7, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in texts], "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    kept = [(r["doc_id"], (r["text"] or "").removesuffix(" end")) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    assert sorted(kept, key=repr) == sorted([(3, a), (None, b), (5, c), (5, d), (7, ""), (7, "")], key=repr)
+
+
 @pytest.mark.parametrize("position", range(4))
 def test_stages_take_empty_tables(spark, no_docs, position):
     assert corpus_pipeline.STAGES[position][1](spark, no_docs, SF).collect() == []
