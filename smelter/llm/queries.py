@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from smelter.llm.line_dedup import line_report
 from smelter.llm.mixing import repetitions
 from smelter.llm.ngram_join import jaccard_components
 from smelter.llm.packing import pack
@@ -61,6 +62,10 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), "word_bpe_49k.json", capacity=2048)
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_sharding": sharding,
@@ -72,4 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": top_k_search,
     "op9_quality_rules": quality_rules,
     "op10_packing": packing,
+    "op11_line_dedup": line_dedup,
 }
