@@ -8,7 +8,7 @@ again from their remaining lines, by position.
 Texts don't move. Each document is described once by its id, the digest of its text and the hashes of its lines, which is
 what the counts and the dropped positions are made of; these are joined to the documents by id and digest. Counts are
 first taken per hash and document and then per hash, both added up before their shuffle, so that a line held by a third of
-all documents is spread over all tasks. Hashes to drop, and documents that lose lines, are broadcast up to a counted size and
+all documents is spread over all tasks. Hashes to drop, and positions that texts lose, are broadcast up to a counted number and
 joined by a shuffle beyond it, where adaptive execution splits hot ones.
 
 A null or empty text is one empty line and stays as it is. Rows that repeat an id are one document when documents are
@@ -27,6 +27,7 @@ from smelter.llm.shared import free_names, needed, small_side, stored
 
 LEAST_CHARACTERS = 40
 LEAST_DOCUMENTS = 5
+BROADCAST_POSITIONS = 500_000
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DOCUMENT = {"doc_id": "long", "text": "string"}
@@ -74,8 +75,9 @@ def _without(lines: Column, positions: Column) -> Column:
 
 def _reassembled(docs: DataFrame, names: dict[str, str], least_documents: int) -> DataFrame:
     """The documents with their lines, the number of lines that go and the text that is left, under the given names."""
-    dropped = stored(dropped_lines(docs, least_documents), "dropped")
-    dropped = small_side(dropped.toDF(names["id"], names["digest"], names["positions"]))
+    dropped = stored(dropped_lines(docs, least_documents).toDF(names["id"], names["digest"], names["positions"]), "dropped")
+    n_positions = dropped.agg(F.sum(F.size(names["positions"]))).first()[0] or 0
+    dropped = F.broadcast(dropped) if n_positions <= BROADCAST_POSITIONS else dropped
     doc_id = (docs["doc_id"] if "doc_id" in docs.columns else F.lit(None)).cast("long")
     text = F.coalesce((docs["text"] if "text" in docs.columns else F.lit(None)).cast("string"), F.lit(""))
     same = (digest(text) == dropped[names["digest"]]) & doc_id.eqNullSafe(dropped[names["id"]])

@@ -93,13 +93,13 @@ LOWERED = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 LINES = f"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 placed AS (
-  SELECT doc_id, at, lines[at] AS line, trim(translate(lines[at], {LOWERED}), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
-  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS at FROM split)),
+  SELECT doc_id, place, lines[place] AS line, trim(translate(lines[place], {LOWERED}), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS place FROM split)),
 repeated AS (
   SELECT key, max(doc_id) AS keeper FROM placed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
-judged AS (SELECT doc_id, at, line, coalesce(doc_id <> keeper, false) AS dropped FROM placed LEFT JOIN repeated USING (key))
+judged AS (SELECT doc_id, place, line, coalesce(doc_id <> keeper, false) AS dropped FROM placed LEFT JOIN repeated USING (key))
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
 
 ORACLES: dict[str, str] = {

@@ -70,6 +70,7 @@ def test_the_corpus_of_all_tests(spark, docs, corpus):
 
 def test_joins_by_shuffle_give_the_same(spark, repeating, monkeypatch):
     monkeypatch.setattr(line_dedup, "small_side", lambda df: df)
+    monkeypatch.setattr(line_dedup, "BROADCAST_POSITIONS", -1)
     assert report(spark, spark.createDataFrame(repeating, DOCS)) == digests(expected_texts(repeating))
 
 
