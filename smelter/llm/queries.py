@@ -20,6 +20,7 @@ from smelter.llm.token_counts import token_counts
 from smelter.llm.topk import top_k
 from smelter.llm.url_filters import judged
 from smelter.llm.warc import archived_records
+from smelter.llm.whitening import whitened
 from smelter.session import new_folder
 
 
@@ -71,6 +72,10 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"), most=32)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_sharding": sharding,
@@ -84,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": packing,
     "op11_line_dedup": line_dedup,
     "op12_merkle_manifest": merkle_manifest,
+    "op13_embedding_whitening": embedding_whitening,
 }
