@@ -4,15 +4,17 @@ A plain ``row_number() OVER (ORDER BY id)`` moves all rows to a single task. Her
 consecutive ids whose rows are few enough to be numbered in one task each, and a running total over the cells gives each
 cell's first number:
 
-1. Count the rows per cell of equal width: 65,536 ids for INT, and for BIGINT the span of the ids in 65,536 parts. Partial
-   counts are added up before the shuffle.
-2. A cell with too many rows is divided further, by as many counts again, until it is small or holds a single id. All
+1. Write the rows once. Their number and the span of their ids are observed in that write, so the input is evaluated a
+   single time; all that follows reads the stored rows, and the counts read the id column alone.
+2. Count the rows per cell: the span in parts of equal width, as many as the number of rows asks for. Partial counts are
+   added up before the shuffle.
+3. A cell with too many rows is divided further, by as many counts again, until it is small or holds a single id. All
    counts together stay within ``MOST_CELLS``, so the driver can keep them and a broadcast can carry them.
-3. A single id with too many rows is split by a hash of the rows' content into as many parts as its count asks for.
+4. A single id with too many rows is split by a hash of the rows' content into as many parts as its count asks for.
 
 Rows of equal id are ordered by that hash, and then by their content, on every path; so the keys don't depend on where
 cells or parts are cut. Copies of one row can be handed in as a count (``collapse_copies``); it is cut into chunks, which
-step 3 spreads like other rows.
+step 4 spreads like other rows.
 """
 
 from __future__ import annotations
@@ -23,8 +25,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smelter.session import written_once
+
 CELL_BITS = 16
 CELL_ROWS = 1 << 18
+CELLS_PER_LIMIT = 16
 MOST_CELLS = 1 << 18
 CHUNK = 65536
 NULL_SLOT = -(2**63)  # sorts before every id
@@ -48,17 +53,20 @@ def surrogate_key(df: DataFrame, id_column: str, key_column: str, copies: str |
     """Add ``key_column``: 1..n by ascending ``id_column``, NULL first.
 
     ``copies`` names a column with the number of copies that each row stands for; the result has them all, numbered,
-    without that column. The frame is evaluated more than once, so it must give the same rows each time. The least BIGINT
-    counts as NULL does.
+    without that column. The frame is evaluated once, when this is called. The least BIGINT counts as NULL does.
     """
     kind = df.schema[id_column].dataType
     if not isinstance(kind, T.ByteType | T.ShortType | T.IntegerType | T.LongType):
         raise TypeError(f"{id_column} must be a whole number")
     payload = [c for c in df.columns if c != copies]
+    number = F.col(id_column).cast("bigint")
+    known = F.when(number != NULL_SLOT, number)
+    total = F.sum(F.col(copies).cast("bigint")) if copies else F.count(F.lit(1))
+    df, facts = written_once(df, "numbered", low=F.min(known), high=F.max(known), rows=total)
     rows = _chunked(df, payload, copies)
-    slot = F.coalesce(F.col(id_column).cast("bigint"), F.lit(NULL_SLOT))
+    slot = F.coalesce(number, F.lit(NULL_SLOT))
     rows = rows.select("*", slot.alias("_slot"), F.xxhash64(*payload, "_chunk").alias("_hash"))
-    placed = _placed(rows, _cells(rows, CELL_BITS if not isinstance(kind, T.LongType) else _shift(rows)))
+    placed = _placed(rows, _cells(rows, _shift(**facts)))
 
     rank = Window.partitionBy("_cell", "_part").orderBy("_slot", "_hash", *payload, "_chunk")
     upto = rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -80,10 +88,12 @@ def _chunked(df: DataFrame, payload: list[str], copies: str | None) -> DataFrame
     return chunks.select(*payload, "_chunk", F.least(F.lit(CHUNK).cast("bigint"), rest).alias("_rows"))
 
 
-def _shift(rows: DataFrame) -> int:
-    """The shift that leaves 65,536 cells or fewer, apart from the one for NULL."""
-    ids = rows.filter(F.col("_slot") != NULL_SLOT).agg(F.min("_slot"), F.max("_slot")).first()
-    return max(0, (ids[1] - ids[0]).bit_length() - CELL_BITS) if ids[0] is not None else 0
+def _shift(low: int | None, high: int | None, rows: int | None) -> int:
+    """The shift that leaves cells of a fraction of the limit if ids are spread evenly, and no more than 65,536 of them."""
+    if low is None or high is None:
+        return 0
+    bits = min(CELL_BITS, ((rows or 0) * CELLS_PER_LIMIT // CELL_ROWS).bit_length())
+    return max(0, (high - low).bit_length() - bits)
 
 
 def _counted(rows: DataFrame, shift: int) -> list[Cell]:

@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,6 +27,24 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Let the session's file system remove a scratch folder when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(place)
+
+
+def written_once(df: DataFrame, label: str, **facts: Column) -> tuple[DataFrame, dict]:
+    """The rows, written to the shared folder and read again, and aggregates over them, taken while they are written.
+
+    So the frame is evaluated once, whatever is done with its rows. The folder goes when the application ends.
+    """
+    path, seen = new_folder(df.sparkSession, label), Observation()
+    remove_at_exit(df.sparkSession, path)
+    rows = df.observe(seen, *[fact.alias(name) for name, fact in facts.items()]) if facts else df
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get if facts else {}
+
+
 def run_together(spark: SparkSession, jobs: Iterable[Callable[[], object]]) -> None:
     """Run independent Spark jobs at the same time, so that small ones fill the executors that large ones leave idle.
 
