@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import dataclass
 from functools import partial, reduce
 
 from pyspark.errors import PySparkException
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 from smelter.schemas import BRONZE, EXTRACTS, columns_of
 from smelter.session import run_together
-from smelter.sources.extracts import REASON, accepted, read_extract, rejected
+from smelter.sources.extracts import REASON, read_extract, read_schema, rejected
 from smelter.sources.tables import Warehouse
 
 AUDIT_TABLE = "load_audit"
@@ -33,7 +34,8 @@ AUDIT_SCHEMA = columns_of(
 )
 REJECTS_SCHEMA = columns_of(batch_id=T.StringType(), table_name=T.StringType(), reason=T.StringType(), record=T.StringType())
 LOADED, REJECTS, FAILED = "LOADED", "REJECTS", "FAILED"
-KEEP, FAIL = "keep", "fail"
+KEEP, FAIL, EMPTY = "keep", "fail", "empty"
+KIND, ACCEPTED, REJECTED = "kind", "accepted", "rejected"
 
 
 class LoadFailed(RuntimeError):
@@ -43,48 +45,70 @@ class LoadFailed(RuntimeError):
 class RowsRejected(RuntimeError):
     """An extract has broken rows, and the policy is to take none of its rows then."""
 
-    def __init__(self, table: str, rejected: int):
-        super().__init__(f"{table}: {rejected} broken rows")
-        self.rejected = rejected
+    def __init__(self, table: str, load: Load):
+        super().__init__(f"{table}: {load.rejected} broken rows")
+        self.load = load
 
 
-def load_table(warehouse: Warehouse, table: str, base_path: str, on_reject: str = KEEP) -> tuple[int, int]:
-    """Replace a bronze table by its extract; returns the numbers of rows loaded and rejected.
+@dataclass(frozen=True)
+class Load:
+    """What one pass over an extract found: numbers of rows, and the folder of the broken ones."""
 
-    The old rows go first, so a load that fails leaves an empty table of the declared schema. One pass reads, counts and
-    writes. With ``on_reject="fail"`` any broken row empties the table again.
+    loaded: int
+    rejected: int
+    rejects: str
+
+
+def load_table(warehouse: Warehouse, table: str, base_path: str, on_reject: str = KEEP, on_failure: str = EMPTY) -> Load:
+    """Replace a bronze table by its extract.
+
+    One pass reads the extract, counts its rows and writes them to the table's next version, good and broken ones in a
+    folder each; then the table moves to the good ones. A load that fails leaves the table with its declared schema, empty or,
+    with ``on_failure="keep"``, with its old rows. With ``on_reject="fail"`` a broken row is such a failure.
     """
     schema = EXTRACTS[table].schema
-    warehouse.create_table(BRONZE, table, schema)
-    rows = read_extract(warehouse.spark, table, base_path)
-    counts = Observation()
-    broken = F.col(REASON).isNotNull()
-    observed = rows.observe(
-        counts,
-        F.count(F.when(~broken, 1)).alias("loaded"),
-        F.count(F.when(broken, 1)).alias("rejected"),
-    )
-    warehouse.append(BRONZE, table, accepted(observed), schema.names)
-    n_loaded, n_rejected = counts.get["loaded"], counts.get["rejected"]
-    if n_rejected and on_reject == FAIL:
-        warehouse.create_table(BRONZE, table, schema)
-        raise RowsRejected(table, n_rejected)
-    return n_loaded, n_rejected
+    version = warehouse.new_version(BRONZE, table)
+    try:
+        counts, broken = Observation(), F.col(REASON).isNotNull()
+        rows = read_extract(warehouse.spark, table, base_path).observe(
+            counts,
+            F.count(F.when(~broken, 1)).alias("loaded"),
+            F.count(F.when(broken, 1)).alias("rejected"),
+        )
+        parted = rows.withColumn(KIND, F.when(broken, REJECTED).otherwise(ACCEPTED))
+        parted.write.partitionBy(KIND).parquet(version)
+        load = Load(counts.get["loaded"], counts.get["rejected"], f"{version}/{KIND}={REJECTED}")
+        if load.rejected and on_reject == FAIL:
+            raise RowsRejected(table, load)
+    except Exception as error:
+        rejected_only = isinstance(error, RowsRejected)
+        if on_failure == EMPTY or not warehouse.exists(BRONZE, table):
+            warehouse.publish(BRONZE, table, schema, version if rejected_only else warehouse.new_version(BRONZE, table), "none")
+        raise
+    warehouse.publish(BRONZE, table, schema, version, f"{KIND}={ACCEPTED}")
+    return load
 
 
 def load_bronze(
-    warehouse: Warehouse, base_path: str = "datasets", on_error: str = "raise", on_reject: str = KEEP
+    warehouse: Warehouse,
+    base_path: str = "datasets",
+    on_error: str = "raise",
+    on_reject: str = KEEP,
+    on_failure: str = EMPTY,
 ) -> DataFrame:
     """Full refresh of the six bronze tables from the extracts below ``base_path``; returns the batch's audit.
 
     The tables are loaded side by side. Broken rows are stored, however many, and counted in the audit; ``on_reject``
-    says whether the table's other rows are kept or the table fails. A failed table gets an audit row too; then the
-    first error is raised, or with ``on_error="record"`` only recorded.
+    says whether the table's other rows are kept or the table fails, and ``on_failure`` whether a failed table is empty then
+    or keeps its old rows. A failed table gets an audit row too; then the first error is raised, or with
+    ``on_error="record"`` only recorded.
     """
     if on_error not in ("raise", "record"):
         raise ValueError(f"on_error must be 'raise' or 'record', not {on_error!r}")
     if on_reject not in (KEEP, FAIL):
         raise ValueError(f"on_reject must be 'keep' or 'fail', not {on_reject!r}")
+    if on_failure not in (EMPTY, KEEP):
+        raise ValueError(f"on_failure must be 'empty' or 'keep', not {on_failure!r}")
     for name, schema in ((AUDIT_TABLE, AUDIT_SCHEMA), (REJECTS_TABLE, REJECTS_SCHEMA)):
         if not warehouse.exists(BRONZE, name):
             warehouse.create_table(BRONZE, name, schema)
@@ -92,23 +116,28 @@ def load_bronze(
     batch_id, batch_start = uuid.uuid4().hex, _now()
     entries: dict[str, tuple] = {}
     failures: dict[str, Exception] = {}
+    broken: dict[str, str] = {}
 
     def load(table: str) -> None:
         start = _now()
         try:
-            loaded, rejects = load_table(warehouse, table, base_path, on_reject)
+            done = load_table(warehouse, table, base_path, on_reject, on_failure)
         except Exception as error:  # whatever stopped the load belongs in the audit
             failures[table] = error
-            entries[table] = (batch_id, table, start, _now(), 0, getattr(error, "rejected", 0), FAILED, *_described(error))
+            found = error.load if isinstance(error, RowsRejected) else Load(0, 0, "")
+            entries[table] = (batch_id, table, start, _now(), 0, found.rejected, FAILED, *_described(error))
         else:
-            status = REJECTS if rejects else LOADED
-            entries[table] = (batch_id, table, start, _now(), loaded, rejects, status, None, None, None)
+            found = done
+            status = REJECTS if done.rejected else LOADED
+            entries[table] = (batch_id, table, start, _now(), done.loaded, done.rejected, status, None, None, None)
+        if found.rejected:
+            broken[table] = found.rejects
 
     run_together(warehouse.spark, [partial(load, t) for t in EXTRACTS])
     listed = [entries[t] for t in EXTRACTS]
-    with_rejects = [e[1] for e in listed if e[5]]
-    if with_rejects:  # one writer, in a second pass over these extracts only
-        frames = [rejected(read_extract(warehouse.spark, t, base_path), t) for t in with_rejects]
+    with_rejects = [t for t in EXTRACTS if t in broken]
+    if with_rejects:  # one writer, over the broken rows that the loads have set aside
+        frames = [rejected(warehouse.spark.read.schema(read_schema(t)).parquet(broken[t]), t) for t in with_rejects]
         rejects = reduce(DataFrame.unionByName, frames).withColumn("batch_id", F.lit(batch_id))
         warehouse.append(BRONZE, REJECTS_TABLE, rejects, rejects.columns)
     totals = [sum(e[i] for e in listed) for i in (4, 5)]

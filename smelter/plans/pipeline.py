@@ -9,12 +9,12 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.plans.bronze import KEEP, load_bronze, load_rejects
+from smelter.plans.bronze import EMPTY, KEEP, load_bronze, load_rejects
 from smelter.plans.gold import dim_customers, dim_products, fact_sales
 from smelter.plans.profiles import PRODUCTION, Profile
 from smelter.plans.quality import gate, verdict
 from smelter.plans.silver import silver_customers, silver_passthrough, silver_products, silver_sales
-from smelter.schemas import BRONZE, EXTRACTS, GOLD, GOLD_OBJECTS, LAYERS, SILVER
+from smelter.schemas import BRONZE, EXTRACTS, GOLD, GOLD_OBJECTS, LAYERS, SILVER, silver_schema
 from smelter.session import run_together
 from smelter.sources.tables import Warehouse, with_load_time
 
@@ -33,7 +33,7 @@ def build_silver(
     profile: Profile = PRODUCTION,
     loaded_at: dt.datetime | None = None,
 ) -> None:
-    """Replace the six silver tables. Sales are matched against the silver tables just written, not against plans."""
+    """Replace the six silver tables, in their declared schemas. Sales are matched against the silver tables just written, not against plans."""
     bronze = {t: warehouse.read(BRONZE, t) for t in EXTRACTS}
     tables = {
         "crm_cust_info": silver_customers(bronze["crm_cust_info"], as_of),
@@ -42,7 +42,7 @@ def build_silver(
     }
 
     def store(table: str, df: DataFrame) -> None:
-        warehouse.overwrite(SILVER, table, with_load_time(df, loaded_at))
+        warehouse.refresh(SILVER, table, silver_schema(table), with_load_time(df, loaded_at))
 
     run_together(warehouse.spark, [partial(store, t, df) for t, df in tables.items()])
     products, customers = warehouse.read(SILVER, "crm_prd_info"), warehouse.read(SILVER, "crm_cust_info")
@@ -89,16 +89,17 @@ def run_pipeline(
     enforce: bool = True,
     on_error: str = "raise",
     on_reject: str = KEEP,
+    on_failure: str = EMPTY,
     loaded_at: dt.datetime | None = None,
     lowest_cost: int | None = None,
 ) -> Run:
     """Load, cleanse, model and check. Raises ``GateFailed`` on silver or gold violations unless ``enforce`` is off.
 
-    ``on_error`` and ``on_reject`` are the load's policies, ``loaded_at`` the time stamped on silver rows, and
+    ``on_error``, ``on_reject`` and ``on_failure`` are the load's policies, ``loaded_at`` the time stamped on silver rows, and
     ``lowest_cost`` the gate's lowest good cost in place of the profile's.
     """
     warehouse.create_namespaces(reset)
-    audit = load_bronze(warehouse, base_path, on_error, on_reject)
+    audit = load_bronze(warehouse, base_path, on_error, on_reject, on_failure)
     build_silver(warehouse, as_of, profile, loaded_at)
     build_gold(warehouse, profile)
     batch = audit.select("batch_id").first()["batch_id"]

@@ -35,16 +35,17 @@ def read_extract(spark: SparkSession, table: str, base_path: str) -> DataFrame:
     return raw.withColumn(REASON, _reason(table))
 
 
+def read_schema(table: str) -> T.StructType:
+    """The columns that ``read_extract`` gives."""
+    return T.StructType([*EXTRACTS[table].schema.fields, T.StructField(MALFORMED, T.StringType()), T.StructField(REASON, T.StringType())])
+
+
 def _reason(table: str) -> Column:
     reason = F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed row"))
     too_long = EXTRACTS[table].max_length.items()
     return reduce(lambda r, c: r.when(F.length(c[0]) > c[1], F.lit(f"{c[0]} over {c[1]} characters")), too_long, reason)
 
 
-def accepted(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col(REASON).isNull()).drop(MALFORMED, REASON)
-
-
 def rejected(rows: DataFrame, table: str) -> DataFrame:
     """Broken rows as ``(table_name, reason, record)``."""
     fields = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in EXTRACTS[table].columns])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,9 @@ from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, LAYERS, SILVER, silv
 class Warehouse:
     """Parquet tables in the namespaces bronze, silver and gold.
 
+    A declared table lies in a folder of its own per version. A refresh writes the next version beside it and then moves the
+    table's location, so that readers see all old rows or all new ones; the version before stays for readers that began with it.
+
     ``location`` is a folder shared by all executors; without it Spark's warehouse folder is used. ``prefix`` goes
     before each namespace name, so that several warehouses can share a catalog.
     """
@@ -32,7 +36,7 @@ class Warehouse:
     def name(self, layer: str, table: str) -> str:
         return f"{self.namespace(layer)}.{table}"
 
-    # ---- namespaces and declared tables ----
+    # ---- namespaces ----
 
     def create_namespaces(self, reset: bool = False) -> None:
         """Create the three namespaces; ``reset`` first drops them with all their tables."""
@@ -43,17 +47,76 @@ class Warehouse:
             self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self.namespace(layer)}{place}")
 
     def drop(self) -> None:
-        """Drop the three namespaces with all their tables, and their folders below ``location``."""
+        """Drop the three namespaces with all their tables, and their folders."""
         for layer in LAYERS:
             self.spark.sql(f"DROP SCHEMA IF EXISTS {self.namespace(layer)} CASCADE")
-            if self.location:  # a catalog of this session alone doesn't know what an earlier session stored
-                path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.location}/{layer}")
-                path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+            # Folders of versions aren't the catalog's, nor does one of this session alone know what an earlier session stored.
+            self._delete(self.folder(layer))
+
+    # ---- versions ----
+
+    def folder(self, layer: str) -> str:
+        """Where the layer's tables lie."""
+        if self.location:
+            return f"{self.location}/{layer}"
+        return f"{self.spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{self.namespace(layer)}.db"
+
+    def new_version(self, layer: str, table: str) -> str:
+        """A folder for the table's next rows, which no reader sees before ``publish``."""
+        return f"{self._versions(layer, table)}/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+    def publish(self, layer: str, table: str, schema: T.StructType, version: str, rows: str = "") -> None:
+        """Let the table of that schema hold the version's rows, of its folder ``rows`` if named; older versions but one go."""
+        name, place = self.name(layer, table), f"{version}/{rows}".rstrip("/")
+        self._path(place)[1].mkdirs(self._path(place)[0])  # a version without rows has no folder yet
+        if self.exists(layer, table) and self._declares(layer, table, schema):
+            before = self._location(layer, table)
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+        else:
+            before = ""
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.catalog.createTable(name, path=place, source="parquet", schema=schema)
+        versions, files = self._path(self._versions(layer, table))
+        for found in files.listStatus(versions):
+            kept = found.getPath().getName()
+            if kept not in place and kept not in before:
+                files.delete(found.getPath(), True)
+
+    def refresh(self, layer: str, table: str, schema: T.StructType, df: DataFrame) -> None:
+        """Full refresh of a declared table. If the write fails, the table keeps its rows."""
+        version = self.new_version(layer, table)
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        try:
+            df.select(*columns).write.parquet(version)
+        except Exception:
+            self._delete(version)
+            raise
+        self.publish(layer, table, schema, version)
+
+    def _versions(self, layer: str, table: str) -> str:
+        return f"{self.folder(layer)}/versions-{table}"
+
+    def _path(self, folder: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def _delete(self, folder: str) -> None:
+        path, files = self._path(folder)
+        files.delete(path, True)
+
+    def _location(self, layer: str, table: str) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
+        return described.filter("col_name = 'Location'").first()["data_type"]
+
+    def _declares(self, layer: str, table: str, schema: T.StructType) -> bool:
+        held = self.read(layer, table).schema
+        return [(f.name, f.dataType) for f in held.fields] == [(f.name, f.dataType) for f in schema.fields]
+
+    # ---- declared tables ----
 
     def create_table(self, layer: str, table: str, schema: T.StructType) -> None:
         """An empty table with a declared schema, in place of one of that name."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
-        self.spark.catalog.createTable(self.name(layer, table), source="parquet", schema=schema)
+        self.publish(layer, table, schema, self.new_version(layer, table))
 
     def create_declared_tables(self) -> None:
         """The six bronze and six silver tables, empty."""

@@ -161,3 +161,24 @@ def test_golden_counts_of_the_public_extracts(warehouse, folder, tables):
     assert {r.maintenance: r["count"] for r in categories.groupBy("maintenance").count().collect()} == {"Yes": 20, "No": 17}
     versions = dim.groupBy("product_number").count().filter("count > 1")
     assert tuple(versions.agg(F.count("*"), F.sum("count"), F.max("count")).first()) == (77, 179, 3)
+
+
+def test_a_failed_load_can_keep_the_old_rows(warehouse, folder, tmp_path):
+    load_bronze(warehouse, write(folder))
+    other = write(str(tmp_path), {"erp_loc_a101": None, "erp_cust_az12": ["A,not a date,Male"]})
+    audit = audit_rows(load_bronze(warehouse, other, on_error="record", on_reject="fail", on_failure="keep"))
+    assert audit["erp_loc_a101"] == (0, 0, "FAILED") and audit["erp_cust_az12"] == (0, 1, "FAILED")
+    assert rows(warehouse, "erp_loc_a101") == [("AW-1", "France"), ("AW-2", None)]
+    assert [r[0] for r in rows(warehouse, "erp_cust_az12")] == ["NASAW1"]
+    assert load_rejects(warehouse).count() == 1
+
+
+def test_an_extract_is_read_once(warehouse, folder, monkeypatch):
+    from smelter.plans import bronze
+
+    reads = []
+    read = bronze.read_extract
+    monkeypatch.setattr(bronze, "read_extract", lambda spark, table, path: reads.append(table) or read(spark, table, path))
+    load_bronze(warehouse, write(folder, {"erp_cust_az12": ["A,1980-01-01,Male", "B,not a date,Male"]}))
+    assert sorted(reads) == sorted(EXTRACTS)
+    assert load_rejects(warehouse).count() == 1 and [r[0] for r in rows(warehouse, "erp_cust_az12")] == ["A"]

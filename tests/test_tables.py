@@ -105,3 +105,32 @@ def test_the_cluster_s_folder_is_used_with_a_new_name_each_time():
     assert shared_folder(cluster) == "/shared/checkpoints"
     first, second = new_folder(cluster, "x"), new_folder(cluster, "x")
     assert first.startswith("/shared/checkpoints/x-") and first != second
+
+
+def test_a_refresh_is_seen_whole_or_not_at_all(warehouse, frame):
+    schema = frame([], "a INT, b STRING").schema
+    warehouse.refresh(SILVER, "t", schema, frame([("x", 1)], "b STRING, a INT"))
+    before = warehouse.read(SILVER, "t")
+    warehouse.refresh(SILVER, "t", schema, frame([("y", 2), ("z", 3)], "b STRING, a BIGINT"))
+    assert [tuple(r) for r in before.collect()] == [(1, "x")]  # a reader that began with the old version
+    assert sorted(tuple(r) for r in warehouse.read(SILVER, "t").collect()) == [(2, "y"), (3, "z")]
+    assert warehouse.read(SILVER, "t").schema.simpleString() == "struct<a:int,b:string>"
+
+
+def test_a_failed_refresh_leaves_the_rows(warehouse, frame):
+    from pyspark.sql import functions as F
+
+    schema = frame([], "a INT").schema
+    warehouse.refresh(SILVER, "t", schema, frame([(1,)], "a INT"))
+    with pytest.raises(Exception, match="stopped"):
+        warehouse.refresh(SILVER, "t", schema, frame([(1,), (2,)], "a INT").withColumn("a", F.when(F.col("a") < 2, 1).otherwise(F.raise_error(F.lit("stopped")).cast("int"))))
+    assert [tuple(r) for r in warehouse.read(SILVER, "t").collect()] == [(1,)]
+
+
+def test_versions_but_the_last_two_are_removed(warehouse, frame):
+    schema = frame([], "a INT").schema
+    for i in range(4):
+        warehouse.refresh(SILVER, "t", schema, frame([(i,)], "a INT"))
+    assert len(os.listdir(f"{warehouse.location}/silver/versions-t")) == 2
+    warehouse.append(SILVER, "t", frame([(9,)], "a INT"), ["a"])
+    assert sorted(tuple(r) for r in warehouse.read(SILVER, "t").collect()) == [(3,), (9,)]
