@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 from collections.abc import Sequence
 
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 
 from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, LAYERS, SILVER, silver_schema
 
+CATALOG = threading.Lock()  # one change of the catalog at a time, whatever runs side by side
+
 
 class Warehouse:
     """Parquet tables in the namespaces bronze, silver and gold.
@@ -67,6 +70,10 @@ class Warehouse:
 
     def publish(self, layer: str, table: str, schema: T.StructType, version: str, rows: str = "") -> None:
         """Let the table of that schema hold the version's rows, of its folder ``rows`` if named; older versions but one go."""
+        with CATALOG:
+            self._publish(layer, table, schema, version, rows)
+
+    def _publish(self, layer: str, table: str, schema: T.StructType, version: str, rows: str) -> None:
         name, place = self.name(layer, table), f"{version}/{rows}".rstrip("/")
         self._path(place)[1].mkdirs(self._path(place)[0])  # a version without rows has no folder yet
         if self.exists(layer, table) and self._declares(layer, table, schema):
@@ -75,7 +82,8 @@ class Warehouse:
         else:
             before = ""
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.catalog.createTable(name, path=place, source="parquet", schema=schema)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{place}'")
         versions, files = self._path(self._versions(layer, table))
         for found in files.listStatus(versions):
             kept = found.getPath().getName()

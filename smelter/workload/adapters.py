@@ -30,7 +30,7 @@ SELECT CASE WHEN c.c_custkey % 97 = 0 THEN NULL ELSE CAST(c.c_custkey AS INT) EN
   CASE c.c_custkey % 5 WHEN 0 THEN 'F' WHEN 1 THEN ' m' WHEN 2 THEN 'M' WHEN 3 THEN NULL ELSE '' END AS cust_gender,
   CASE WHEN o.o_orderkey % 13 = 0 THEN NULL ELSE CAST(o.o_orderdate AS DATE) END AS cust_create_date,
   o.o_orderkey AS src_seq
-FROM {customer} c JOIN {orders} o ON o.o_custkey = c.c_custkey""",
+FROM {customer} c LEFT JOIN {orders} o ON o.o_custkey = c.c_custkey""",
     "crm_prd_info": """
 SELECT CASE WHEN p_partkey % 101 = 0 THEN NULL ELSE CAST(p_partkey AS INT) END AS prd_id,
   CONCAT(""" + CATEGORY.format(dash="-") + """, '-', """ + PRODUCT.format(p="p_") + """) AS prd_key,
@@ -70,12 +70,12 @@ SELECT CONCAT(CASE WHEN c_custkey % 10 = 8 THEN 'X-' ELSE 'A-' END, """ + CUSTOM
   CASE WHEN c_custkey % 11 = 0 THEN '' ELSE n_name END AS cntry
 FROM {customer} JOIN {nation} ON n_nationkey = c_nationkey""",
     "erp_px_cat_g1v2": """
-SELECT DISTINCT """ + CATEGORY.format(dash="_") + """ AS id,
-  CASE p_partkey % 4 WHEN 0 THEN 'Accessories' WHEN 1 THEN 'Components' ELSE 'Bikes' END AS cat,
+SELECT DISTINCT CONCAT(CASE WHEN p_partkey % 4 = 3 THEN 'Z' ELSE '' END, """ + CATEGORY.format(dash="_") + """) AS id,
+  CASE p_partkey % 4 WHEN 0 THEN 'Accessories' WHEN 1 THEN 'Components' WHEN 2 THEN 'Bikes' ELSE 'Clothing' END AS cat,
   CONCAT(CASE WHEN p_partkey % 37 % 5 = 0 THEN ' ' ELSE '' END, 'Line ', CAST(p_partkey % 37 AS STRING)) AS subcat,
   CONCAT(CASE p_partkey % 37 % 2 WHEN 0 THEN 'Yes' ELSE 'No' END,
     CASE WHEN p_partkey % 37 % 7 = 0 THEN ' ' ELSE '' END) AS maintenance
-FROM {part} WHERE p_partkey % 4 <> 3""",
+FROM {part}""",
 }
 
 INPUTS = {

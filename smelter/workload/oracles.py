@@ -275,16 +275,51 @@ LOAD_FAILED = union(
     f"SELECT '*', {' + '.join(c for t, c in COUNTS.items() if t != 'erp_loc_a101')} - {REJECTED}, {REJECTED}, 'FAILED', NULL, {REJECTED}",
 )
 
+LOAD_AUDIT = union(
+    *[f"SELECT '{t}' AS table_name, {n} AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected, 'LOADED' AS status, true AS timed"
+      for t, n in COUNTS.items()],
+    f"SELECT '*', {' + '.join(COUNTS.values())}, CAST(0 AS BIGINT), 'LOADED', true",
+)
+AUDITED = (f"({LOAD_AUDIT})", ["table_name", "rows_loaded", "rows_rejected", "status"])
+CHECKED = ["layer", "table_name", "check_name", "severity", "violations", "failed"]
+GOLD_FIELDS = {
+    "dim_customers": (
+        "g_cust",
+        ["customer_key", "customer_id", "customer_number", "first_name", "last_name_hash", "marital_status", "gender",
+         "birth_date", "country", "customer_create_date", "cust_is_future"],
+    ),
+    "dim_products": (
+        "g_prd",
+        ["product_key", "product_id", "product_number", "product_name", "product_cost", "product_line",
+         "CAST(product_start_date AS TIMESTAMP)", "CAST(product_end_date AS TIMESTAMP)", "category", "subcategory",
+         "maintenance"],
+    ),
+    "fact_sales": (
+        "g_fact",
+        ["order_number", "customer_key", "product_key", "order_date", "ship_date", "due_date", "sales_amount", "quantity",
+         "price"],
+    ),
+}
+
+
+def from_extracts(text: str) -> str:
+    """A query over tables that went through extracts, which hold no empty text."""
+    loc = duckdb_text("erp_loc_a101").strip()
+    return text.replace(loc, f"SELECT cid, NULLIF(cntry, '') AS cntry FROM ({loc})", 1)
+
+
+def ran(gate_text: str) -> tuple[str, list[str]]:
+    """Gate results of a run as of the flag's date."""
+    return f"({gate_text.replace('2026-01-01', '2000-01-01')})", CHECKED
+
+
+STORED = [f"bronze.{t}" for t in (*EXTRACTS, "load_audit", "load_rejects")] + [f"silver.{t}" for t in EXTRACTS]
+STORED += [f"gold.{t}" for name in GOLD_FIELDS for t in (name, f"{name}_rows")]
+
 ORACLES: dict[str, str] = {
     # sources, sinks and tables
     "bronze_csv_roundtrip": sql(records({t: (t, stored(t, "NULLIF({c}, '')")) for t in EXTRACTS})),
-    "load_audit": sql(
-        union(
-            *[f"SELECT '{t}' AS table_name, {n} AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected, 'LOADED' AS status, true AS timed"
-              for t, n in COUNTS.items()],
-            f"SELECT '*', {' + '.join(COUNTS.values())}, CAST(0 AS BIGINT), 'LOADED', true",
-        )
-    ),
+    "load_audit": sql(LOAD_AUDIT),
     "load_audit_failed": sql(LOAD_FAILED),
     "catalog_tables": sql(
         union(
@@ -311,6 +346,10 @@ ORACLES: dict[str, str] = {
         "SELECT src_seq, TRIM(cust_firstname) AS cust_firstname, TRIM(cust_lastname) AS cust_lastname FROM crm_cust_info"
     ),
     "future_flag": sql(f"SELECT src_seq, cust_create_date, {FUTURE} AS cust_is_future FROM crm_cust_info"),
+    "future_flag_now": sql(
+        "SELECT src_seq, cust_create_date + 10950 AS cust_create_date, CAST(CASE WHEN cust_create_date + 10950 > current_date THEN 1 "
+        "ELSE 0 END AS INTEGER) AS cust_is_future FROM crm_cust_info"
+    ),
     "cost_default": sql(
         f"SELECT prd_id, prd_start_dt, {COST} AS production_cost, {COST_CI} AS ci_cost FROM crm_prd_info"
     ),
@@ -405,28 +444,34 @@ ORACLES: dict[str, str] = {
         "JOIN g_prd USING (product_key) GROUP BY country, category",
         *STAR,
     ),
-    "gold_views": sql(
-        records(
-            {
-                "dim_customers": (
-                    "g_cust",
-                    ["customer_key", "customer_id", "customer_number", "first_name", "last_name_hash", "marital_status", "gender",
-                     "birth_date", "country", "customer_create_date", "cust_is_future"],
-                ),
-                "dim_products": (
-                    "g_prd",
-                    ["product_key", "product_id", "product_number", "product_name", "product_cost", "product_line",
-                     "CAST(product_start_date AS TIMESTAMP)", "CAST(product_end_date AS TIMESTAMP)", "category", "subcategory",
-                     "maintenance"],
-                ),
-                "fact_sales": (
-                    "g_fact",
-                    ["order_number", "customer_key", "product_key", "order_date", "ship_date", "due_date", "sales_amount", "quantity",
-                     "price"],
-                ),
-            }
-        ),
-        *STAR,
+    "gold_views": sql(records(GOLD_FIELDS), *STAR),
+    # the whole run
+    "pipeline_run": from_extracts(
+        sql(
+            records({"audit": AUDITED, "gate": ran(gate("prd_cost < 0", "s_prd", "s_sales", "g_prd", "g_fact", rejected="0")), **GOLD_FIELDS}),
+            *STAR,
+        )
+    ),
+    "pipeline_run_ci": from_extracts(
+        sql(
+            records(
+                {
+                    "audit": AUDITED,
+                    "gate": ran(gate("prd_cost <= 0", "s_prd_ci", "s_sales_ci", "g_prd_ci", "g_fact_ci", rejected="0")),
+                    "dim_customers": GOLD_FIELDS["dim_customers"],
+                    "dim_products": (
+                        "(SELECT product_id, MIN(product_key) AS first_key, MAX(product_key) AS last_key FROM g_prd_ci GROUP BY product_id)",
+                        ["product_id", "first_key", "last_key"],
+                    ),
+                    "fact_sales": (
+                        "g_fact_ci JOIN g_prd_ci USING (product_key)",
+                        ["order_number", "customer_key", "product_number", "order_date", "sales_amount"],
+                    ),
+                    "stored": (f"(VALUES {', '.join(f"('{t}')" for t in STORED)}) v(name)", ["name"]),
+                }
+            ),
+            "s_cust", "s_prd_ci", "s_sales_ci", "g_cust", "g_prd_ci", "g_fact_ci",
+        )
     ),
     # quality
     "dq_key_customer": sql(REPEATED.format(key="cust_id", table="crm_cust_info") + " OR cust_id IS NULL"),

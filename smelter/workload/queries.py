@@ -38,7 +38,7 @@ from smelter.operators.surrogate import collapse_copies, surrogate_key
 from smelter.plans import bronze as load
 from smelter.plans import generic, gold, pipeline, quality, silver
 from smelter.plans.profiles import CI, PRODUCTION, Profile
-from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, FUTURE_COLUMN, GOLD, GOLD_OBJECTS, SILVER, silver_schema
+from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, FUTURE_COLUMN, GOLD, GOLD_OBJECTS, LAYERS, SILVER, silver_schema
 from smelter.session import run_together, shared_folder
 from smelter.sources.extracts import write_extract
 from smelter.sources.tables import Warehouse
@@ -235,6 +235,13 @@ def future_flag_(spark, sf_dir):
     )
 
 
+@query
+def future_flag_now(spark, sf_dir):
+    """The flag by the current date, for dates moved to both sides of it."""
+    moved = source(spark, sf_dir, "crm_cust_info").select("src_seq", F.date_add("cust_create_date", 30 * 365).alias("cust_create_date"))
+    return moved.withColumn(FUTURE_COLUMN, future_flag(F.col("cust_create_date")))
+
+
 @query
 def cost_default(spark, sf_dir):
     cost = F.col("prd_cost")
@@ -451,6 +458,41 @@ def gold_views(spark, sf_dir):
     return _records({t: spark.sql(f"SELECT * FROM {warehouse.name(GOLD, t)}") for t in GOLD_OBJECTS})
 
 
+# ---- the whole run ---------------------------------------------------------------------------------------------
+
+
+def _run(warehouse: Warehouse, spark: SparkSession, sf_dir: str, label: str, profile: Profile, **options) -> dict[str, DataFrame]:
+    """A run over written extracts: its audit, its gate results, and the gold views as read by name."""
+    tables = {t: _declared(df, t) for t, df in sources(spark, sf_dir).items()}
+    extracts = _write_extracts(spark, tables, label)
+    run = pipeline.run_pipeline(warehouse, extracts, FLAG_DATE, profile, enforce=False, **options)
+    audit = run.audit.select("table_name", "rows_loaded", "rows_rejected", "status")
+    return {"audit": audit, "gate": run.gate, **{t: warehouse.read(GOLD, t) for t in GOLD_OBJECTS}}
+
+
+@query
+def pipeline_run(spark, sf_dir):
+    """Extracts to gate in one run."""
+    return _records(_run(_warehouse(spark, "run"), spark, sf_dir, "run", PRODUCTION))
+
+
+@query
+def pipeline_run_ci(spark, sf_dir):
+    """The same by the CI profile, after a reset of a warehouse that holds tables already; and what is stored then.
+
+    Products repeat their ids there, so keys of products are compared as a span per id, and those of facts by product number.
+    """
+    warehouse = _store_bronze(spark, sf_dir, "run_ci")
+    warehouse.overwrite(SILVER, "left_over", source(spark, sf_dir, "erp_loc_a101"))
+    tables = _run(warehouse, spark, sf_dir, "run_ci", CI, reset=True)
+    products, fact = tables["dim_products"], tables["fact_sales"]
+    tables["dim_products"] = products.groupBy("product_id").agg(F.min("product_key").alias("first_key"), F.max("product_key").alias("last_key"))
+    numbers = fact.join(products.select("product_key", "product_number"), "product_key")
+    tables["fact_sales"] = numbers.select("order_number", "customer_key", "product_number", "order_date", "sales_amount")
+    stored = [(f"{layer}.{t}",) for layer in LAYERS for t in warehouse.tables(layer)]
+    return _records({**tables, "stored": spark.createDataFrame(stored, "name STRING")})
+
+
 # ---- quality -------------------------------------------------------------------------------------------------
 
 
