@@ -28,6 +28,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--on-reject", choices=("keep", "fail"), default="keep", help="what a table with broken rows does")
     parser.add_argument("--loaded-at", type=dt.datetime.fromisoformat, help="time stamped on silver rows")
     parser.add_argument("--lowest-cost", type=int, help="the gate's lowest good cost, instead of the profile's")
+    parser.add_argument("--on-failure", choices=("empty", "keep"), default="empty", help="what a failed table holds then")
+    parser.add_argument("--live-gold", action="store_true", help="gold views that follow silver, under keys that stay")
+    parser.add_argument("--buckets", type=int, default=0, help="buckets by customer key of the stored fact and customer dimension")
     parser.add_argument("--suite", choices=("bronze", "silver"), help="only run the diagnostic suite on a stored layer")
     args = parser.parse_args(argv)
 
@@ -42,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
         run = run_pipeline(
             warehouse, args.base_path, args.as_of, PROFILES[args.profile], args.reset,
             on_error=args.on_error, on_reject=args.on_reject, loaded_at=args.loaded_at, lowest_cost=args.lowest_cost,
+            on_failure=args.on_failure, live_gold=args.live_gold, buckets=args.buckets,
         )
     except GateFailed as failure:
         print(failure, file=sys.stderr)

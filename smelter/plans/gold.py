@@ -32,11 +32,8 @@ def _left_join_counted(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     return joined.withColumn(COPIES, F.col(COPIES) * F.coalesce("_n", F.lit(1))).drop("_key", "_n")
 
 
-def dim_customers(customers: DataFrame, demographics: DataFrame, locations: DataFrame) -> DataFrame:
-    """Customers with ERP birth date, gender and country; the last name as a hash.
-
-    One row per customer, or one per match where an ERP table repeats a customer.
-    """
+def customer_rows(customers: DataFrame, demographics: DataFrame, locations: DataFrame) -> DataFrame:
+    """Customers with their ERP columns, and the number of rows of the dimension that each stands for."""
     base = customers.select(
         "cust_id",
         "cust_key",
@@ -51,7 +48,15 @@ def dim_customers(customers: DataFrame, demographics: DataFrame, locations: Data
     base = _left_join_counted(
         base, _lookup(demographics, customer_key_of_suffix(F.col("cid")), "bdate", "gen"), "cust_key"
     )
-    base = _left_join_counted(base, _lookup(locations, customer_key_of_dashed(F.col("cid")), "cntry"), "cust_key")
+    return _left_join_counted(base, _lookup(locations, customer_key_of_dashed(F.col("cid")), "cntry"), "cust_key")
+
+
+def dim_customers(customers: DataFrame, demographics: DataFrame, locations: DataFrame) -> DataFrame:
+    """Customers with ERP birth date, gender and country; the last name as a hash.
+
+    One row per customer, or one per match where an ERP table repeats a customer.
+    """
+    base = customer_rows(customers, demographics, locations)
     return surrogate_key(base, "cust_id", "customer_key", COPIES).select(
         "customer_key",
         F.col("cust_id").alias("customer_id"),
@@ -67,15 +72,8 @@ def dim_customers(customers: DataFrame, demographics: DataFrame, locations: Data
     )
 
 
-def dim_products(
-    products: DataFrame, categories: DataFrame, current_version_only: bool = False, unique_ids: bool = False
-) -> DataFrame:
-    """Products with their category.
-
-    A product number may have several versions, each a row with its own key, so a fact repeats a sale per version.
-    ``current_version_only`` keeps the latest version of each number, under the same key as in the full dimension.
-    ``unique_ids`` says that no product id repeats, as in a build of latest records; copies then needn't be counted.
-    """
+def product_rows(products: DataFrame, categories: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """Products with their category, and the number of rows of the dimension that each stands for."""
     base = products.select(
         "prd_id",
         "prd_key",
@@ -87,7 +85,19 @@ def dim_products(
         category_id(F.col("prd_key")).alias("_category"),
     )
     base = base.withColumn(COPIES, F.lit(1).cast("bigint")) if unique_ids else collapse_copies(base, COPIES)
-    base = _left_join_counted(base, _lookup(categories, F.col("id"), "cat", "subcat", "maintenance"), "_category")
+    return _left_join_counted(base, _lookup(categories, F.col("id"), "cat", "subcat", "maintenance"), "_category")
+
+
+def dim_products(
+    products: DataFrame, categories: DataFrame, current_version_only: bool = False, unique_ids: bool = False
+) -> DataFrame:
+    """Products with their category.
+
+    A product number may have several versions, each a row with its own key, so a fact repeats a sale per version.
+    ``current_version_only`` keeps the latest version of each number, under the same key as in the full dimension.
+    ``unique_ids`` says that no product id repeats, as in a build of latest records; copies then needn't be counted.
+    """
+    base = product_rows(products, categories, unique_ids)
     dimension = surrogate_key(base, "prd_id", "product_key", COPIES).select(
         "product_key",
         F.col("prd_id").alias("product_id"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from smelter.plans.bronze import EMPTY, KEEP, load_bronze, load_rejects
 from smelter.plans.gold import dim_customers, dim_products, fact_sales
+from smelter.plans.live import create_live_views, store_keys
 from smelter.plans.profiles import PRODUCTION, Profile
 from smelter.plans.quality import gate, verdict
 from smelter.plans.silver import silver_customers, silver_passthrough, silver_products, silver_sales
@@ -19,6 +20,7 @@ from smelter.session import run_together
 from smelter.sources.tables import Warehouse, with_load_time
 
 ORDER_YEAR = "order_year"
+BUCKET_KEY = "customer_key"
 
 
 @dataclass(frozen=True)
@@ -54,9 +56,18 @@ def rows_of(name: str) -> str:
     return f"{name}_rows"
 
 
-def build_gold(warehouse: Warehouse, profile: Profile = PRODUCTION) -> None:
+def build_live_gold(warehouse: Warehouse) -> None:
+    """Keys for new members, and the views that follow silver; stored gold tables are left as they are."""
+    store_keys(warehouse)
+    create_live_views(warehouse)
+
+
+def build_gold(warehouse: Warehouse, profile: Profile = PRODUCTION, buckets: int = 0) -> None:
     """Replace the gold tables and the views that users query by name.
 
+    With ``buckets`` the customer dimension and the fact are stored by customer key in as many buckets, so that joins of the two
+    need no shuffle. A bucket is read by one task: choose it where no customer holds much of the sales.
+
     Dimensions come first, so the fact reads their keys; the fact is stored in a folder per order year. The views show the
     described columns only.
     """
@@ -65,12 +76,18 @@ def build_gold(warehouse: Warehouse, profile: Profile = PRODUCTION) -> None:
         "dim_customers": dim_customers(silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"]),
         "dim_products": dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"], unique_ids=profile.latest_products_only),
     }
-    run_together(warehouse.spark, [partial(warehouse.overwrite, GOLD, rows_of(t), df) for t, df in dimensions.items()])
+    layout = {"dim_customers": {"buckets": buckets, "bucket_by": BUCKET_KEY}} if buckets else {}
+    run_together(
+        warehouse.spark,
+        [partial(warehouse.overwrite, GOLD, rows_of(t), df, **layout.get(t, {})) for t, df in dimensions.items()],
+    )
     stored = [warehouse.read(GOLD, rows_of(t)) for t in dimensions]
     fact = fact_sales(silver["crm_sales_details"], *stored)
-    # A rebalance on the year writes few files per folder; large years are split over several tasks.
-    dated = fact.withColumn(ORDER_YEAR, F.year("order_date")).hint("rebalance", F.col(ORDER_YEAR))
-    warehouse.overwrite(GOLD, rows_of("fact_sales"), dated, [ORDER_YEAR])
+    dated = fact.withColumn(ORDER_YEAR, F.year("order_date"))
+    if buckets:
+        warehouse.overwrite(GOLD, rows_of("fact_sales"), dated, [ORDER_YEAR], buckets, BUCKET_KEY)
+    else:  # a rebalance on the year writes few files per folder; large years are split over several tasks
+        warehouse.overwrite(GOLD, rows_of("fact_sales"), dated.hint("rebalance", F.col(ORDER_YEAR)), [ORDER_YEAR])
     for name, df in {**dimensions, "fact_sales": fact}.items():
         warehouse.create_view(GOLD, name, rows_of(name), df.columns)
 
@@ -92,16 +109,23 @@ def run_pipeline(
     on_failure: str = EMPTY,
     loaded_at: dt.datetime | None = None,
     lowest_cost: int | None = None,
+    live_gold: bool = False,
+    buckets: int = 0,
 ) -> Run:
     """Load, cleanse, model and check. Raises ``GateFailed`` on silver or gold violations unless ``enforce`` is off.
 
     ``on_error``, ``on_reject`` and ``on_failure`` are the load's policies, ``loaded_at`` the time stamped on silver rows, and
-    ``lowest_cost`` the gate's lowest good cost in place of the profile's.
+    ``lowest_cost`` the gate's lowest good cost in place of the profile's. With ``live_gold`` the gold views follow silver
+    under keys that stay from run to run; otherwise they show the rows stored by this run, under dense keys, in ``buckets`` by
+    customer if given.
     """
     warehouse.create_namespaces(reset)
     audit = load_bronze(warehouse, base_path, on_error, on_reject, on_failure)
     build_silver(warehouse, as_of, profile, loaded_at)
-    build_gold(warehouse, profile)
+    if live_gold:
+        build_live_gold(warehouse)
+    else:
+        build_gold(warehouse, profile, buckets)
     batch = audit.select("batch_id").first()["batch_id"]
     rejects = load_rejects(warehouse, batch)
     checks = gate(warehouse.spark, **gate_tables(warehouse), as_of=as_of, profile=profile, rejects=rejects, lowest_cost=lowest_cost)

@@ -19,6 +19,7 @@ WARNING, ERROR = "warning", "error"
 RESULT_COLUMNS = ("layer", "table_name", "check_name", "severity", "violations", "failed")
 
 Tables = dict[str, DataFrame | None]
+Rules = dict[str, Column]
 
 
 class GateFailed(RuntimeError):
@@ -63,7 +64,7 @@ def layer_profiles(tables: dict[str, DataFrame]) -> DataFrame:
         k.value_profile(tables[table], column).select(F.lit(name).alias("profile"), F.col(column).alias("value"))
         for name, (table, column) in PROFILED.items()
     ]
-    return _union(frames).orderBy("profile", "value")
+    return union_frames(frames).orderBy("profile", "value")
 
 
 def gold_checks(customers: DataFrame, products: DataFrame, fact: DataFrame) -> dict[str, DataFrame]:
@@ -76,7 +77,7 @@ def gold_checks(customers: DataFrame, products: DataFrame, fact: DataFrame) -> d
 
 def suite_summary(checks: dict[str, DataFrame]) -> DataFrame:
     """Number of offending rows per check."""
-    return _union(
+    return union_frames(
         [
             df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
             for name, df in checks.items()
@@ -90,14 +91,20 @@ def layer_summary(tables: dict[str, DataFrame], as_of: dt.date | None = None) ->
     All row rules of a table are counted in one aggregation per key or value that the other rules group by; what is left
     to shuffle is one row per key.
     """
-    customers, products = tables["crm_cust_info"], tables["crm_prd_info"]
-    sales, demographics, categories = tables["crm_sales_details"], tables["erp_cust_az12"], tables["erp_px_cat_g1v2"]
-    triple = ["sls_sales", "sls_quantity", "sls_price"]
+    plans = summary_plans(tables, as_of)
+    return union_frames([totals_of(groups_of(tables[t], keys, rows), rows, groups) for t, keys, rows, groups in plans])
+
+
+def summary_plans(tables: dict[str, DataFrame], as_of: dt.date | None = None) -> list[tuple[str, list[str], Rules, Rules]]:
+    """For each of the tables that has checks: what its rows are grouped by, the rules of rows and those of groups."""
     untrimmed = k.any_untrimmed
-    plans = [
-        (customers, ["cust_id"], {"customer_key_untrimmed": untrimmed(["cust_key"])}, {"customer_key": _breaks_key("cust_id")}),
-        (
-            products,
+    plans = {
+        "crm_cust_info": lambda: (
+            ["cust_id"],
+            {"customer_key_untrimmed": untrimmed(["cust_key"])},
+            {"customer_key": _breaks_key("cust_id")},
+        ),
+        "crm_prd_info": lambda: (
             ["prd_id"],
             {
                 "product_name_untrimmed": untrimmed(["prd_nm"]),
@@ -106,26 +113,29 @@ def layer_summary(tables: dict[str, DataFrame], as_of: dt.date | None = None) ->
             },
             {"product_key": _breaks_key("prd_id")},
         ),
-        (
-            sales,
-            triple,
+        "crm_sales_details": lambda: (
+            ["sls_sales", "sls_quantity", "sls_price"],
             {"sales_due_date": is_invalid_day(F.col("sls_due_dt")), "sales_date_order": k.ordered_late()},
             {"sales_amount": k.inconsistent_sales()},
         ),
-        (demographics, ["bdate"], {}, {"birth_date": k.birth_out_of_range(as_of)}),
-        (categories, [], {"category_untrimmed": untrimmed(["cat", "subcat", "maintenance"])}, {}),
-    ]
-    return _union([_summed(*plan) for plan in plans])
+        "erp_cust_az12": lambda: (["bdate"], {}, {"birth_date": k.birth_out_of_range(as_of)}),
+        "erp_px_cat_g1v2": lambda: ([], {"category_untrimmed": untrimmed(["cat", "subcat", "maintenance"])}, {}),
+    }
+    return [(t, *plan()) for t, plan in plans.items() if t in tables]
 
 
 def _breaks_key(key: str) -> Column:
     return (F.col("_rows") > 1) | F.col(key).isNull()
 
 
-def _summed(df: DataFrame, keys: list[str], row_rules: dict[str, Column], group_rules: dict[str, Column]) -> DataFrame:
-    """Rows that break each row rule, and groups that break each group rule, from one scan."""
+def groups_of(df: DataFrame, keys: list[str], row_rules: Rules) -> DataFrame:
+    """Per group its rows and the rows that break each rule, from one scan; these numbers add up over loads."""
     counts = [F.count(F.when(rule, 1)).alias(name) for name, rule in row_rules.items()]
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *counts)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *counts)
+
+
+def totals_of(groups: DataFrame, row_rules: Rules, group_rules: Rules) -> DataFrame:
+    """Rows that break each row rule, and groups that break each group rule."""
     totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in row_rules]
     totals += [F.count(F.when(rule, 1)).alias(name) for name, rule in group_rules.items()]
     pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("violations")) for n in (*row_rules, *group_rules)])
@@ -214,7 +224,7 @@ def gate(
             frames.append(_measure(empty, GOLD, name, ERROR, {"no rows": F.col("_n") == 0}))
 
     frames.append(_existence(spark, silver, gold))
-    return _union(frames)
+    return union_frames(frames)
 
 
 def failed_checks(results: DataFrame) -> DataFrame:
@@ -273,5 +283,5 @@ def _existence(spark: SparkSession, silver: Tables, gold: Tables) -> DataFrame:
     )
 
 
-def _union(frames: Iterable[DataFrame]) -> DataFrame:
+def union_frames(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

@@ -160,9 +160,22 @@ class Warehouse:
 
     # ---- writing ----
 
-    def overwrite(self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Full refresh: the table holds the new rows only."""
-        df.write.mode("overwrite").partitionBy(*partition_by).format("parquet").saveAsTable(self.name(layer, table))
+    def overwrite(
+        self, layer: str, table: str, df: DataFrame, partition_by: Sequence[str] = (), buckets: int = 0, bucket_by: str = ""
+    ) -> None:
+        """Full refresh: the table holds the new rows only, in ``buckets`` sorted by ``bucket_by`` if there are any."""
+        if buckets:  # rows move to their bucket before the write, so that a bucket is one file per partition
+            df = df.repartition(buckets, bucket_by)
+        # The table's own setting: an insert that overwrites replaces the partitions of its rows, not the table.
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).format("parquet")
+        if buckets:
+            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        writer.saveAsTable(self.name(layer, table))
+
+    def replace_partitions(self, layer: str, table: str, df: DataFrame) -> None:
+        """Replace the partitions that the rows lie in, of a table stored by ``overwrite``; all others keep their files."""
+        columns = self.read(layer, table).columns
+        df.select(*columns).write.insertInto(self.name(layer, table), overwrite=True)
 
     def append(
         self, layer: str, table: str, df: DataFrame, columns: Sequence[str], loaded_at: dt.datetime | None = None

@@ -239,6 +239,9 @@ S_ALL = ("s_cust", "s_prd", "s_sales")
 STAR = (*S_ALL, "g_cust", "g_prd", "g_fact")
 COUNTS = {t: f"(SELECT COUNT(*) FROM {t})" for t in TEXTS}
 
+DERIVED["g_cust_more"] = f"""SELECT * FROM g_cust UNION ALL
+SELECT (SELECT COUNT(*) FROM g_cust) + ROW_NUMBER() OVER (ORDER BY -s_suppkey), CAST(-s_suppkey AS INT), CONCAT('S', CAST(s_suppkey AS VARCHAR)),
+  TRIM(s_name), {hashed("TRIM(s_name)")}, 'n/a', NULL, NULL, NULL, NULL, CAST(0 AS INT) FROM supplier"""
 DERIVED["g_fact_ci"] = DERIVED["g_fact"].replace("FROM s_sales ", "FROM s_sales_ci ").replace("g_prd", "g_prd_ci")
 
 DISCONNECTED = """SELECT f.*, CAST(CASE WHEN c.customer_key IS NULL THEN 1 ELSE 0 END AS INTEGER) AS no_customer,
@@ -445,6 +448,21 @@ ORACLES: dict[str, str] = {
         *STAR,
     ),
     "gold_views": sql(records(GOLD_FIELDS), *STAR),
+    "stable_keys": sql(
+        "SELECT CAST(customer_id AS BIGINT) AS customer_id, customer_key FROM g_cust UNION ALL SELECT -s_suppkey, "
+        "(SELECT COUNT(*) FROM g_cust) + ROW_NUMBER() OVER (ORDER BY -s_suppkey) FROM supplier",
+        "s_cust",
+        "g_cust",
+    ),
+    "live_gold": sql(
+        records({"before": ("g_cust_more", GOLD_FIELDS["dim_customers"][1]), **GOLD_FIELDS, "dim_customers": ("g_cust_more", GOLD_FIELDS["dim_customers"][1])}),
+        *STAR,
+        "g_cust_more",
+    ),
+    "latest_customer_merged": sql(LATEST_CUSTOMER),
+    "dq_suite_increments": sql(
+        suite(*[f"(SELECT * FROM {t} UNION ALL SELECT * FROM {t})" for t in ("crm_cust_info", "crm_prd_info", "crm_sales_details")])
+    ),
     # the whole run
     "pipeline_run": from_extracts(
         sql(
@@ -556,3 +574,4 @@ ORACLES: dict[str, str] = {
     "dq_gate_literal": sql(gate("prd_cost <= 0", "s_prd", "s_sales", "g_prd", "g_fact"), *STAR),
     "dq_gate_dirty": sql(f"SELECT * FROM results UNION ALL {VERDICT}", "results"),
 }
+ORACLES["star_report_bucketed"] = ORACLES["star_report"]

@@ -36,10 +36,10 @@ from smelter.operators import checks as k
 from smelter.operators.latest import latest_record
 from smelter.operators.surrogate import collapse_copies, surrogate_key
 from smelter.plans import bronze as load
-from smelter.plans import generic, gold, pipeline, quality, silver
+from smelter.plans import generic, gold, increments, live, pipeline, quality, silver
 from smelter.plans.profiles import CI, PRODUCTION, Profile
 from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, FUTURE_COLUMN, GOLD, GOLD_OBJECTS, LAYERS, SILVER, silver_schema
-from smelter.session import run_together, shared_folder
+from smelter.session import new_folder, remove_at_exit, run_together, written_once
 from smelter.sources.extracts import write_extract
 from smelter.sources.tables import Warehouse
 from smelter.workload.adapters import TIE, source, sources
@@ -89,9 +89,10 @@ def _dim_products(spark: SparkSession, sf_dir: str, profile: Profile = PRODUCTIO
 
 
 def _warehouse(spark: SparkSession, label: str) -> Warehouse:
-    """An empty warehouse of one name per query, in the shared folder; what an earlier run left is dropped."""
-    warehouse = Warehouse(spark, f"{shared_folder(spark)}/{label}", prefix=f"{label}_")
-    warehouse.drop()
+    """An empty warehouse in the shared folder, under a name that no other call uses; it goes when the application ends."""
+    folder = new_folder(spark, label)
+    remove_at_exit(spark, folder)
+    warehouse = Warehouse(spark, folder, prefix=folder.rsplit("/", 1)[1].replace("-", "_") + "_")
     warehouse.create_namespaces()
     return warehouse
 
@@ -123,7 +124,8 @@ def _records(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _write_extracts(spark: SparkSession, tables: dict[str, DataFrame], label: str) -> str:
-    base_path = f"{shared_folder(spark)}/{label}_extracts"
+    base_path = new_folder(spark, f"{label}_extracts")
+    remove_at_exit(spark, base_path)
     run_together(spark, [partial(write_extract, df, t, base_path) for t, df in tables.items()])
     return base_path
 
@@ -458,6 +460,76 @@ def gold_views(spark, sf_dir):
     return _records({t: spark.sql(f"SELECT * FROM {warehouse.name(GOLD, t)}") for t in GOLD_OBJECTS})
 
 
+def _new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as customers of a later load, with ids before all earlier ones."""
+    number = F.col("s_suppkey")
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+        (-number).cast("int").alias("cust_id"), F.concat(F.lit("S"), number.cast("string")).alias("cust_key"),
+        F.col("s_name").alias("cust_firstname"), F.col("s_name").alias("cust_lastname"), F.lit(UNKNOWN).alias("cust_marital_status"),
+        F.lit(UNKNOWN).alias("cust_gender"), F.lit(0).alias(FUTURE_COLUMN),
+    )
+
+
+@query
+def stable_keys(spark, sf_dir):
+    """Customer keys after a second load: old ones as they were, new ones after them."""
+    warehouse = _store_bronze(spark, sf_dir, "stable")
+    pipeline.build_silver(warehouse, FLAG_DATE)
+    live.store_keys(warehouse)
+    added = _new_customers(spark, sf_dir)
+    warehouse.append(SILVER, "crm_cust_info", added, added.columns)
+    live.store_keys(warehouse)
+    return warehouse.read(GOLD, live.keys_of("dim_customers")).select(F.col("id").alias("customer_id"), F.col("key").alias("customer_key"))
+
+
+@query
+def live_gold(spark, sf_dir):
+    """Views that follow silver: read after rows were appended, without a build, and again after keys were stored."""
+    warehouse = _store_bronze(spark, sf_dir, "live")
+    pipeline.build_silver(warehouse, FLAG_DATE)
+    pipeline.build_live_gold(warehouse)
+    added = _new_customers(spark, sf_dir)
+    warehouse.append(SILVER, "crm_cust_info", added, added.columns)
+    before, _ = written_once(warehouse.read(GOLD, "dim_customers"), "before")
+    live.store_keys(warehouse)
+    after = {t: warehouse.read(GOLD, t) for t in GOLD_OBJECTS}
+    return _records({"before": before, **after})
+
+
+@query
+def star_report_bucketed(spark, sf_dir):
+    """The report over stored tables in buckets by customer."""
+    warehouse = _store_bronze(spark, sf_dir, "bucketed")
+    pipeline.build_silver(warehouse, FLAG_DATE)
+    pipeline.build_gold(warehouse, buckets=8)
+    fact, customers, products = (warehouse.read(GOLD, pipeline.rows_of(t)) for t in ("fact_sales", "dim_customers", "dim_products"))
+    return gold.sales_by_country_and_category(fact, customers, products)
+
+
+# ---- increments ----------------------------------------------------------------------------------------------
+
+
+@query
+def latest_customer_merged(spark, sf_dir):
+    """Latest records from three batches by date, merged one after another."""
+    warehouse = _warehouse(spark, "merged")
+    rows, date = source(spark, sf_dir, "crm_cust_info"), F.col("cust_create_date")
+    later, last = date >= dt.date(1997, 1, 1), date >= dt.date(1999, 1, 1)
+    for batch in (rows.filter(last), rows.filter(F.coalesce(~later, F.lit(True))), rows.filter(later & ~last)):
+        increments.merge_latest(warehouse, BRONZE, "latest_customers", batch, "cust_id", "cust_create_date", TIE)
+    return increments.latest_rows(warehouse, BRONZE, "latest_customers")
+
+
+@query
+def dq_suite_increments(spark, sf_dir):
+    """The suite from counts kept of two loads: all tables, and then customers, products and sales once more."""
+    warehouse = _warehouse(spark, "increments")
+    tables = sources(spark, sf_dir)
+    increments.add_to_summary(warehouse, BRONZE, tables, CHECK_DATE)
+    increments.add_to_summary(warehouse, BRONZE, {t: tables[t] for t in tables if t not in ERP}, CHECK_DATE)
+    return increments.summary(warehouse, BRONZE, tables, CHECK_DATE)
+
+
 # ---- the whole run ---------------------------------------------------------------------------------------------
 
 

@@ -1,0 +1,56 @@
+import datetime as dt
+import glob
+import os
+import random
+
+from smelter.operators.latest import latest_record
+from smelter.plans.increments import PART, add_to_summary, latest_rows, merge_latest, summary
+from smelter.plans.quality import layer_summary
+from smelter.schemas import BRONZE
+
+ROWS = "id INT, day DATE, name STRING"
+DAY = dt.date(2020, 1, 1)
+
+
+def found(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_merged_batches_equal_the_full_build(warehouse, frame):
+    rng = random.Random(1)
+    days = [None, *[DAY + dt.timedelta(days=i) for i in range(5)]]
+    rows = [(rng.choice([None, *range(40)]), rng.choice(days), rng.choice("abc")) for _ in range(300)]
+    for start in range(0, 300, 75):
+        merge_latest(warehouse, BRONZE, "latest", frame(rows[start : start + 75], ROWS), "id", "day", parts=7)
+    assert found(latest_rows(warehouse, BRONZE, "latest")) == found(latest_record(frame(rows, ROWS), "id", "day"))
+
+
+def files(warehouse):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{warehouse.location}/**/{PART}=*/*.parquet", recursive=True)}
+
+
+def test_folders_without_a_key_of_the_batch_keep_their_files(warehouse, frame):
+    merge_latest(warehouse, BRONZE, "latest", frame([(i, DAY, "old") for i in range(50)], ROWS), "id", "day", parts=8)
+    before = files(warehouse)
+    merge_latest(warehouse, BRONZE, "latest", frame([(3, dt.date(2021, 1, 1), "new"), (4, dt.date(2019, 1, 1), "late"), (None, DAY, "x")], ROWS), "id", "day", parts=8)
+    after = files(warehouse)
+    kept = [f for f in before if after.get(f) == before[f]]
+    assert len({os.path.dirname(f) for f in kept}) >= 6
+    names = {r.id: r.name for r in latest_rows(warehouse, BRONZE, "latest").collect()}
+    assert len(names) == 50 and names[3] == "new" and names[4] == "old"
+
+
+def test_an_empty_batch_changes_nothing(warehouse, frame):
+    merge_latest(warehouse, BRONZE, "latest", frame([(1, DAY, "a")], ROWS), "id", "day")
+    merge_latest(warehouse, BRONZE, "latest", frame([], ROWS), "id", "day")
+    assert found(latest_rows(warehouse, BRONZE, "latest")) == [(1, DAY, "a")]
+
+
+def test_kept_counts_give_the_suite_of_all_loads(warehouse, tables):
+    add_to_summary(warehouse, BRONZE, tables, DAY)
+    add_to_summary(warehouse, BRONZE, {"crm_prd_info": tables["crm_prd_info"]}, DAY)
+    whole = tables | {"crm_prd_info": tables["crm_prd_info"].unionByName(tables["crm_prd_info"])}
+    nothing = {t: df.filter("false") for t, df in tables.items()}
+    got = summary(warehouse, BRONZE, nothing, DAY)
+    assert found(got) == found(layer_summary(whole, DAY))
+    assert dict(found(got))["product_key"] == 2
