@@ -1,12 +1,14 @@
 """Words of whole texts as 64-bit numbers, for a whole Arrow batch at once.
 
 A word is a run of bytes other than blank and 0x09-0x0D. UTF-8 never uses these bytes inside a character, so the bytes
-can be scanned without decoding. A word's number is a polynomial of its bytes (A-Z lower-cased) modulo 2**64, read off
-running sums, and then mixed; two words of a corpus get the same number with a probability of about 2**-64 per pair.
+can be scanned without decoding. A word's number hashes its bytes (A-Z lower-cased), eight at a time, each step mixing all
+bits of what came before; long words, which are rare, take BLAKE2b. Two words get the same number with a probability of about
+2**-64 per pair, and no rule of word structure makes it more likely.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -14,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 2 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _LENGTH = np.uint64(0xD6E8FEB86659FD93)
+_LONG = 64
 
 
 def _is_separator() -> np.ndarray:
@@ -32,7 +34,8 @@ def _lowered() -> np.ndarray:
 
 
 SEPARATOR = _is_separator()
-LOWERED = _lowered()
+LOWERED = _lowered()  # each byte in lower case, and one
+LOWER_BYTES = (LOWERED - np.uint64(1)).astype(np.uint8)
 
 
 class Chunk(NamedTuple):
@@ -89,21 +92,23 @@ def _spans(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(starts), np.flatnonzero(ends) + 1
 
 
-_powers: list[np.ndarray] = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(max(n, CHUNK_BYTES), base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps)
-    return _powers
+#: The lowest bytes of a little-endian block, by their number.
+_FIRST = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def _numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = _power_tables(len(data))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(LOWERED[data] * up[: len(data)], out=sums[1:])
-    numbers = (sums[ends] - sums[starts]) * down[starts] if len(starts) else np.zeros(0, np.uint64)
-    return mix(numbers + (ends - starts).astype(np.uint64) * _LENGTH)
+    lengths = ends - starts
+    numbers = mix(lengths.astype(np.uint64) * _LENGTH)
+    lowered = np.concatenate((LOWER_BYTES[data], np.zeros(8, np.uint8)))
+    blocks = np.ndarray((len(data) + 1,), dtype="<u8", buffer=lowered, strides=(1,))  # the eight bytes from each place on
+    left = np.flatnonzero(lengths <= _LONG)
+    for at in range(0, _LONG, 8):
+        left = left[lengths[left] > at]
+        if not len(left):
+            break
+        block = blocks[starts[left] + at] & _FIRST[np.minimum(lengths[left] - at, 8)]
+        numbers[left] = mix((numbers[left] ^ block) * _STEP + _LENGTH)
+    for i in np.flatnonzero(lengths > _LONG):
+        word = lowered[starts[i] : ends[i]]
+        numbers[i] = np.frombuffer(hashlib.blake2b(word.tobytes(), digest_size=8).digest(), dtype="<u8")[0]
+    return numbers
