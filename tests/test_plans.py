@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smelter.operators import checks as k
-from smelter.plans.gold import dim_products, fact_sales
+from smelter.plans.gold import fact_sales, product_rows
 from smelter.plans.quality import layer_summary
 from smelter.plans.silver import silver_sales
 from smelter.schemas import EXTRACTS
@@ -53,7 +53,7 @@ def test_the_suite_scans_each_table_once(parquet_tables):
 
 
 def test_products_of_unique_ids_are_not_collapsed(tables):
-    counted = [plan_of(dim_products(tables["crm_prd_info"], tables["erp_px_cat_g1v2"], unique_ids=u)).count("Exchange hashpartitioning") for u in (False, True)]
+    counted = [plan_of(product_rows(tables["crm_prd_info"], tables["erp_px_cat_g1v2"], unique_ids=u)).count("Exchange hashpartitioning") for u in (False, True)]
     assert counted[1] < counted[0]
 
 
