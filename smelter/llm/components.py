@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from smelter.llm.shared import stored
+from smelter.llm.shared import discard, stored
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -15,17 +15,21 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     neighbours, then its smaller neighbours and itself to the smallest of these. Both only take a minimum per node,
     which is added up before the shuffle, and join it back, where adaptive execution splits a node with very many
     links. The number of links never grows; the number of rounds grows with the logarithm of the number of nodes.
-    Links with a null end are ignored. A node linked to itself alone is its own component.
+    Links with a null end are ignored. A node linked to itself alone is its own component. Each round's links are removed
+    once the next ones are written.
     """
     ends = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter(F.col("u").isNotNull() & F.col("v").isNotNull())
     nodes = stored(ends.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "nodes")
     edges, seen = _stored(_downward(ends))
     while seen[0]:
-        edges, now = _stored(_small_star(_large_star(edges)))
+        former, (edges, now) = edges, _stored(_small_star(_large_star(edges)))
+        discard(former)
         if now == seen:
             break
         seen = now
-    return nodes.join(edges, nodes["node"] == edges["u"], "left").select("node", F.coalesce("v", "node").alias("component"))
+    result = stored(nodes.join(edges, nodes["node"] == edges["u"], "left").select("node", F.coalesce("v", "node").alias("component")), "components")
+    discard(nodes, edges)
+    return result
 
 
 def _stored(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:

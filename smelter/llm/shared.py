@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +11,33 @@ from pyspark.sql import functions as F
 from smelter.session import new_folder, ship_package
 
 BROADCAST_ROWS = 1_000_000
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read again: lineage ends there, and a lost executor loses nothing."""
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows written to the shared folder and read again: lineage ends there, and a lost executor loses nothing.
+
+    The shuffles of the write aren't read again, so their files go as soon as it ends.
+    """
+    spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+    before = spark.conf.get(SHUFFLES_GO)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    _folders[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` returned, once no frame that is still to be evaluated reads them."""
+    for table in tables:
+        jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
+        place = jvm.org.apache.hadoop.fs.Path(_folders.pop(table))
+        place.getFileSystem(session.sessionState().newHadoopConf()).delete(place, True)
 
 
 def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
