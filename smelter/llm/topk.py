@@ -6,9 +6,12 @@ are added up over all blocks, the cell that holds the k-th best becomes the next
 single number. Then only scores that reach it are kept, and ties are broken by the smaller id. A block keeps no more
 than its own k best, so that any number of equal vectors stays bounded.
 
-Vectors become integers, so scores are exact. A vector takes no part if it is null or holds a null or non-finite
-component, or if its id is null. Of rows that repeat an id, the smallest vector stands for it. Missing components of
-shorter vectors count as 0. No queries or no candidates give no rows. Extra columns aren't read.
+Vectors become integers, so scores are exact at any size that fits a long; a score beyond that is taken as the nearer of
+-(2**63 - 1) and 2**63 - 1, and so is tied with others there. A component beyond a long is taken as the long's end.
+
+A vector takes no part if it is null or holds a null or non-finite component, or if its id is null. Of rows that repeat an
+id, the smallest vector stands for it. Missing components of shorter vectors count as 0. No queries or no candidates give
+no rows. Extra columns aren't read.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ CELLS = 256
 QUERY_BLOCK = 4096
 CANDIDATE_BLOCK = 8192
 SLICE = 512
+LONGEST = 2**63 - 1
+WIDE = "decimal(20,0)"  # an interval may be as wide as all longs
 
 
 def whole_vectors(table: DataFrame) -> DataFrame:
@@ -50,8 +55,10 @@ def top_k(table: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     # |score| is at most the product of the vectors' lengths.
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda t, x: t + x.cast("double") * x))
     longest = vectors.agg(F.max(length)).first()[0] or 0.0
-    bound = (F.ceil(length * (longest * (1 + 1e-9))) + 1).cast("long")
-    state = stored(queries.select("query_id", (-bound).alias("low"), (2 * bound + 1).alias("span"), F.lit(k).cast("long").alias("wanted")), "state")
+    most = length * (longest * (1 + 1e-9))
+    bound = F.when(most < 9e18, (F.ceil(most) + 1).cast(WIDE)).otherwise(F.lit(LONGEST).cast(WIDE))
+    interval = ((-bound).cast(WIDE).alias("low"), (2 * bound + 1).cast(WIDE).alias("span"))
+    state = stored(queries.select("query_id", *interval, F.lit(k).cast("long").alias("wanted")), "state")
 
     blocks = _blocks(vectors, is_query, facts["n"], facts["queries"])
     while not state.filter("span > 1").isEmpty():
@@ -84,35 +91,62 @@ def _in_blocks(blocks: DataFrame, state: DataFrame, run: Callable, schema: str)
 
 
 def _matrix(rows: pd.Series, width: int) -> np.ndarray:
-    """Vectors as float64, in which whole numbers up to 2**53 and their sums are exact."""
-    matrix = np.zeros((len(rows), width))
+    matrix = np.zeros((len(rows), width), np.int64)
     for i, row in enumerate(rows):
         matrix[i, : len(row)] = row
     return matrix
 
 
+def exact_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """All inner products of the rows of two matrices of longs, held to +-LONGEST.
+
+    float64 products are exact while no sum of magnitudes leaves 2**53. Beyond it, products of longs are exact modulo
+    2**64, and the float64 product tells which of them fit; the few that it can't tell are multiplied in Python's integers.
+    """
+    floats = left.astype(float), right.astype(float)
+    about = floats[0] @ floats[1].T
+    magnitude = np.outer(np.sqrt((floats[0] ** 2).sum(1)), np.sqrt((floats[1] ** 2).sum(1))) * (1 + 1e-9)
+    if magnitude.size == 0 or magnitude.max() < 2**53:
+        return about.astype(np.int64)
+    exact = left @ right.T
+    error = magnitude * ((left.shape[1] + 4) * 2.0**-52)
+    beyond, fits = np.abs(about) - error > 2.0**63, np.abs(about) + error < 2.0**63 - 1024
+    exact[beyond] = np.where(about[beyond] > 0, LONGEST, -LONGEST)
+    for i, j in np.argwhere(~beyond & ~fits):
+        product = sum(int(a) * int(b) for a, b in zip(left[i], right[j], strict=True))
+        exact[i, j] = max(-LONGEST, min(LONGEST, product))
+    return exact
+
+
 def _scores(block: pd.DataFrame, width: int) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
     """Slices of a block's queries, their scores against all its candidates, and the candidates' ids."""
     asks = block["asks"].to_numpy(bool)
     asked, offered = block[asks].sort_values("vec_id"), block[~asks].sort_values("vec_id")
-    candidates, ids = _matrix(offered["vector"], width).T, offered["vec_id"].to_numpy(np.int64)
+    candidates, ids = _matrix(offered["vector"], width), offered["vec_id"].to_numpy(np.int64)
     for at in range(0, len(asked), SLICE):
         part = asked.iloc[at : at + SLICE]
-        yield part, (_matrix(part["vector"], width) @ candidates).astype(np.int64), ids
+        yield part, exact_products(_matrix(part["vector"], width), candidates), ids
+
+
+def _whole(numbers: pd.Series, kind: type) -> np.ndarray:
+    return np.array([int(x) for x in numbers], kind)
 
 
 def _counting(width: int) -> Callable:
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for part, scores, ids in _scores(block, width):
-            for query, low, span, row in zip(part["vec_id"], part["low"].astype(np.int64), part["span"].astype(np.int64), scores, strict=True):
-                if span > 1:
-                    row = row[ids != query]
-                    cells = (row[(row >= low) & (row < low + span)] - low) // -(-span // CELLS)
-                    counts = np.bincount(cells, minlength=1)
-                    cells = np.flatnonzero(counts)
-                    found.append(pd.DataFrame({"query_id": query, "cell": cells, "n": counts[cells]}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "cell": [], "n": []})
+        found = [np.zeros((0, 3), np.int64)]
+        open_ones = block[~block["asks"].to_numpy(bool) | (block["span"] > 1)]
+        for part, scores, ids in _scores(open_ones, width):
+            queries, lows, spans = part["vec_id"].to_numpy(np.int64), _whole(part["low"], np.int64), _whole(part["span"], np.uint64)
+            # Distances from the lower end modulo 2**64: below the span exactly for the scores inside the interval.
+            above = scores.view(np.uint64) - lows.view(np.uint64)[:, None]
+            row, column = np.nonzero((above < spans[:, None]) & (ids != queries[:, None]))
+            steps = (spans - np.uint64(1)) // np.uint64(CELLS) + np.uint64(1)
+            cells = (above[row, column] // steps[row]).astype(np.int64)
+            counts = np.bincount(row * CELLS + cells, minlength=1)
+            some = np.flatnonzero(counts)
+            found.append(np.column_stack([queries[some // CELLS], some % CELLS, counts[some]]))
+        return pd.DataFrame(np.concatenate(found), columns=["query_id", "cell", "n"])
 
     return run
 
@@ -125,7 +159,7 @@ def _refined(state: DataFrame, counted: DataFrame) -> DataFrame:
     sums = counted.groupBy("query_id", "cell").agg(F.sum("n").alias("n"))
     cells = sums.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("cell", "n")), asc=False).alias("cells"))  # CELLS at most
     start = F.struct(F.lit(-1).alias("cell"), F.lit(0).cast("long").alias("above"))
-    step = F.ceil(F.col("span") / CELLS).cast("long")
+    step = F.ceil(F.col("span") / CELLS).cast(WIDE)
 
     def next_cell(seen: Column, x: Column) -> Column:
         here = F.struct(x["cell"].alias("cell"), seen["above"].alias("above"))
@@ -136,20 +170,20 @@ def _refined(state: DataFrame, counted: DataFrame) -> DataFrame:
     done, found = F.col("span") <= 1, F.col("at")["cell"] >= 0
     return joined.select(
         "query_id",
-        F.when(~done & found, F.col("low") + F.col("at")["cell"] * step).otherwise(F.col("low")).alias("low"),
-        F.when(~done & found, F.least(step, F.col("span") - F.col("at")["cell"] * step)).otherwise(F.lit(1).cast("long")).alias("span"),
+        F.when(~done & found, F.col("low") + F.col("at")["cell"] * step).otherwise(F.col("low")).cast(WIDE).alias("low"),
+        F.when(~done & found, F.least(step, F.col("span") - F.col("at")["cell"] * step)).otherwise(F.lit(1)).cast(WIDE).alias("span"),
         F.when(~done & found, F.col("wanted") - F.col("at")["above"]).otherwise(F.col("wanted")).alias("wanted"),
     )
 
 
 def _choosing(width: int, k: int) -> Callable:
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found = [np.zeros((0, 3), np.int64)]
         for part, scores, ids in _scores(block, width):
-            for query, low, row in zip(part["vec_id"], part["low"].astype(np.int64), scores, strict=True):
+            for query, low, row in zip(part["vec_id"], _whole(part["low"], np.int64), scores, strict=True):
                 fit = np.flatnonzero((row >= low) & (ids != query))
                 fit = fit[np.argsort(-row[fit], kind="stable")[:k]]  # ids rise, so ties keep the smaller
-                found.append(pd.DataFrame({"query_id": query, "vec_id": ids[fit], "score": row[fit]}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+                found.append(np.column_stack([np.full(len(fit), query), ids[fit], row[fit]]))
+        return pd.DataFrame(np.concatenate(found), columns=["query_id", "vec_id", "score"])
 
     return run

@@ -49,3 +49,22 @@ def test_blocks_and_slices_make_no_difference(spark, monkeypatch):
 @pytest.mark.parametrize("rows", [[], [(1, [1.0])], [(5, [1.0])], [(5, []), (6, [])]])
 def test_few_vectors(spark, rows):
     assert found(spark, rows, 3) == brute_force(rows, 3)
+
+
+def held(score):
+    return max(-topk.LONGEST, min(topk.LONGEST, score))
+
+
+@pytest.mark.parametrize("size", [9.0, 3e5, 1e6, 1e9, 1e12, 1e300])
+def test_large_components_give_exact_scores(spark, size):
+    draw = random.Random(int(math.log10(size)))
+    rows = [(i, [float(draw.randint(-9, 9)) if draw.random() < 0.3 else draw.uniform(-size, size) for _ in range(6)]) for i in range(40)]
+    rows += [(40, [size] * 6), (45, [size, -size, 1.0, 2.0, 3.0, 4.0]), (46, [size, size, 4.0, 3.0, 2.0, 1.0])]
+    whole = {i: [max(-(2**63), min(2**63 - 1, math.floor(1024 * x) if math.isfinite(1024 * x) else int(math.copysign(2**63, x)))) for x in v] for i, v in rows}
+    expected = []
+    for i in whole:
+        if i % 5 == 0:
+            scores = sorted((-held(sum(a * b for a, b in zip(whole[i], w, strict=True))), j) for j, w in whole.items() if j != i)
+            expected += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores[:7], 1)]
+    table = spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<DOUBLE>")
+    assert sorted(map(tuple, topk.top_k(table, F.col("vec_id") % 5 == 0, 7).collect())) == sorted(expected)
