@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,18 +16,22 @@ SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read again: lineage ends there, and a lost executor loses nothing.
-
-    The shuffles of the write aren't read again, so their files go as soon as it ends.
-    """
-    spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs inside go as soon as each job ends: for writes whose shuffles aren't read again."""
     before = spark.conf.get(SHUFFLES_GO)
     spark.conf.set(SHUFFLES_GO, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(SHUFFLES_GO, before)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read again: lineage ends there, and a lost executor loses nothing."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, label)
+    with shuffles_go(spark):
+        df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     _folders[table] = path
     return table
