@@ -80,9 +80,8 @@ fitting AS (
   JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY url),
 judged AS (
   SELECT page_id, host, path, rule, action,
-    CASE WHEN contains(p.url, '://') THEN regexp_replace(host, ':(80|443)$', '') || regexp_replace(regexp_replace(path, '/+$', '') ||
-      regexp_replace(regexp_replace('&' || regexp_extract(p.url, '^[^?#]*\?([^#]*)', 1, 's'), '&(utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '', 'g'), '^&', '?'),
-      '\?$', '') ELSE p.url END AS node
+    CASE WHEN contains(p.url, '://') THEN host || CASE WHEN path = '' THEN '/' ELSE path END || regexp_extract(p.url, '^.*?://[^?#]*(\?[^#]*)', 1, 's')
+      ELSE p.url END AS node
   FROM parts p LEFT JOIN fitting f ON f.url = p.url),
 reached AS (SELECT node, bool_or(action = 'block') AND NOT coalesce(bool_or(action = 'allow'), false) AS blocked FROM judged GROUP BY node)
 SELECT page_id, host, path, rule, coalesce(action, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict

@@ -1,17 +1,20 @@
 """URL rules, and block decisions that reach a page's aliases.
 
 A rule names a host and a path, and fits its host and all subdomains where the path begins with the rule's; the longest
-fitting rule decides. Urls are aliases if they differ in scheme, letter case of the host, fragment, trailing slash or
-tracking parameters only, or if one page names the other as its canonical address or redirects to it. Aliases form
+fitting rule decides. Urls are aliases if they differ in scheme, letter case of the host, fragment or an empty path only, or
+if one page names the other as its canonical address or redirects to it. Every such link of a page counts, but those in
+comments and scripts; addresses are resolved against the page's base. Parameters are kept, as they may name pages. Aliases form
 components, found by distributed connected components over these links. A url without a rule is allowed if any of its
 aliases is explicitly allowed, else blocked if any is blocked, else allowed. A rule of its own always decides first.
 
 A null url, or one without ``://``, has an empty host and path and is an alias of equal texts only. A null html names
-nothing. Null or repeated ids pass through. Extra columns aren't read. An empty table gives an empty result.
+nothing, and a relative address on a page without site neither. A very long html is searched whole. Repeated rows, null and
+repeated ids pass through. Extra columns aren't read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +25,6 @@ from smelter.llm.shared import needed, stored
 
 ALLOW, BLOCK = "allow", "block"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-TRACKING = "utm_[a-z]+|ref|fbclid|gclid"
 
 
 class Rule(NamedTuple):
@@ -57,49 +59,86 @@ def fitting_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[C
 
 
 def plain_form(url: Column) -> Column:
-    """What all trivial variants of a url share."""
-    query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
-    query = F.regexp_replace(F.concat(F.lit("&"), query), f"&({TRACKING})=[^&]*", "")
-    rest = F.concat(F.regexp_replace(path_of(url), "/+$", ""), F.regexp_replace(query, "^&", "?"))
-    plain = F.concat(F.regexp_replace(host_of(url), ":(80|443)$", ""), F.regexp_replace(rest, r"\?$", ""))
+    """What a url's variants by scheme, case of the host and fragment share; an empty path is the root."""
+    query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
+    path = path_of(url)
+    plain = F.concat(host_of(url), F.when(path == "", "/").otherwise(path), query)
     return F.coalesce(F.when(url.contains("://"), plain).otherwise(url), F.lit(""))
 
 
-def named_addresses(html: Column, url: Column) -> tuple[Column, Column]:
-    """The addresses that a page names as its canonical one and redirects to, each null if there is none."""
-    link = F.regexp_extract(html, r"(?i)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1)
-    canonical = F.regexp_extract(link, r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    meta = F.regexp_extract(html, r"(?i)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)", 1)
-    content = F.regexp_extract(meta, r"(?i)(?<![\w-])content\s*=\s*(\"[^\"]*\"|'[^']*'|[^>]*)", 1)
-    refresh = F.regexp_extract(content, r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    return _absolute(canonical, url), _absolute(refresh, url)
-
-
-def _absolute(address: Column, url: Column) -> Column:
-    target = F.nullif(address, F.lit(""))
-    site = F.regexp_extract(url, "(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(path_of(url), "(?s)^(.*/)", 1)
-    return (
-        F.when(target.rlike("(?i)^[a-z][a-z0-9+.-]*://"), target)
-        .when(target.startswith("//"), F.concat(F.substring_index(site, "//", 1), target))
-        .when(target.startswith("/"), F.concat(site, target))
-        .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), target))
+def _tags(html: Column, name: str) -> Column:
+    return F.regexp_extract_all(html, F.lit(f"(?i)<{name}\\b[^>]*>"), F.lit(0))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """An attribute's value without quotes, character references resolved; empty if the tag hasn't it."""
+    pattern = rf"(?is)(?<![\w-]){name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
+    value = F.concat(*[F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)])
+    for reference, character in (("quot|#34|#x22", '"'), ("apos|#39|#x27", "'"), ("lt|#60|#x3c", "<"), ("gt|#62|#x3e", ">"), ("amp|#38|#x26", "&")):
+        value = F.regexp_replace(value, f"(?i)&({reference});", character)
+    return F.regexp_replace(value, r"^\s+|\s+$", "")
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression over a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def named_addresses(html: Column, url: Column) -> Column:
+    """All addresses that a page names as its canonical one and redirects to, absolute, each once."""
+
+    def raw(seen: Column) -> Column:
+        canonical = F.filter(_tags(seen, "link"), lambda t: _attribute(t, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)"))
+        refresh = F.filter(_tags(seen, "meta"), lambda t: _attribute(t, "http-equiv").rlike("(?i)^refresh$"))
+        target = F.transform(refresh, lambda t: F.regexp_extract(_attribute(t, "content"), r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1))
+        return F.concat(F.transform(canonical, lambda t: _attribute(t, "href")), target)
+
+    def base(seen: Column) -> Column:
+        given = F.get(F.filter(F.transform(_tags(seen, "base"), lambda t: _attribute(t, "href")), lambda h: h != ""), F.lit(0))
+        return F.coalesce(_with(given, lambda h: absolute(h, url)), url)
+
+    def resolved(seen: Column) -> Column:
+        return _with(base(seen), lambda b: F.array_distinct(F.array_compact(F.transform(raw(seen), lambda a: absolute(a, b)))))
+
+    return _with(F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script|\z)", " "), resolved)
+
+
+def absolute(address: Column, base: Column) -> Column:
+    """An address resolved against the url of its page; null if it is empty, a mere fragment or of another kind than a url."""
+    site = F.nullif(F.regexp_extract(base, "(?s)^(.*?://[^/?#]*)", 1), F.lit(""))
+    folder = F.regexp_extract(path_of(base), "(?s)^(.*/)", 1)
+    joined = (
+        F.when((address == "") | address.startswith("#"), None)
+        .when(address.rlike("(?i)^[a-z][a-z0-9+.-]*://"), address)
+        .when(address.startswith("//"), F.concat(F.substring_index(site, "//", 1), address))
+        .when(address.rlike("(?i)^[a-z][a-z0-9+.-]*:"), None)
+        .when(address.startswith("/"), F.concat(site, address))
+        .when(address.startswith("?"), F.concat(site, path_of(base), address))
+        .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), address))
     )
+    return _with(joined, _without_dots)
+
+
+def _without_dots(url: Column) -> Column:
+    """Segments ``.`` and ``..`` of the path resolved; none goes above the root."""
+    path = path_of(url)
+    parts = F.split(path, "/")
+    step = lambda seen, x: F.when(x == ".", seen).when(x == "..", F.slice(seen, 1, F.greatest(F.size(seen) - 1, F.lit(1)))).otherwise(F.concat(seen, F.array(x)))
+    kept = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.slice(parts, 1, 1), step)
+    kept = F.when(path.rlike(r"(?s)/\.\.?\z"), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    site, rest = F.regexp_extract(url, "(?s)^(.*?://[^/?#]*)", 1), F.regexp_extract(url, r"(?s)^.*?://[^?#]*([?#].*)\z", 1)
+    return F.when(path.contains("/."), F.concat(site, F.array_join(kept, "/"), rest)).otherwise(url)
 
 
 def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict`` per page."""
     rows = needed(pages, {"page_id": "long", "url": "string", "html": "string"})
-    canonical, refresh = named_addresses(F.col("html"), F.col("url"))
-    rows = rows.withColumn("canonical", canonical).withColumn("refresh", refresh)
+    rows = rows.withColumn("named", named_addresses(F.col("html"), F.col("url")))
     rule, action = fitting_rule(host_of(F.col("url")), path_of(F.col("url")), rules)
-    targets = []
-    for named in (F.col("canonical"), F.col("refresh")):
-        _, target_action = fitting_rule(host_of(named), path_of(named), rules)
-        targets.append(F.when(named.isNotNull(), F.struct(plain_form(named).alias("target"), target_action.alias("target_action"))))
+    reached = lambda x: F.struct(plain_form(x).alias("target"), fitting_rule(host_of(x), path_of(x), rules)[1].alias("target_action"))
     facts = rows.select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), rule.alias("rule"), action.alias("action"),
-        plain_form(F.col("url")).alias("node"), F.array_compact(F.array(*targets)).alias("targets"),
+        plain_form(F.col("url")).alias("node"), F.transform("named", reached).alias("targets"),
     )
     facts = stored(facts, "urls")
 

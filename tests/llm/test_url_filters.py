@@ -1,8 +1,13 @@
+import random
 import re
+from html import escape
+from urllib.parse import urljoin
 
 import pytest
 
-from smelter.llm.url_filters import RULES, Rule, judged
+from pyspark.sql import functions as F
+
+from smelter.llm.url_filters import RULES, Rule, absolute, judged, named_addresses
 
 PAGES = "page_id LONG, url STRING, html STRING"
 LINK = '<html><head><LINK href="{}" rel="canonical"></head>'
@@ -40,7 +45,7 @@ def test_blocks_reach_aliases_and_allowing_rules_win(spark):
     rows = [
         (1, "https://b.com/de/1", ""),
         (2, "https://mirror.net/1", LINK.format("https://b.com/de/1")),
-        (3, "http://MIRROR.net/1/#top", ""),
+        (3, "http://MIRROR.net/1#top", ""),
         (4, "https://far.net/x", REFRESH.format("//mirror.net/1")),
         (5, "https://both.net/x", LINK.format("https://c.com/de/2")),
         (6, "https://c.com/fr/2", REFRESH.format("https://both.net/x")),
@@ -89,3 +94,66 @@ def test_extra_columns_and_empty_tables(spark, clashing):
 def test_no_python_runs(spark):
     plan = judged(spark.createDataFrame([(1, "http://b.com/de/", None)], PAGES))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+ADDRESSES = [
+    "?p=2", "x", "../x", "../../../x?a=../b", "./", "..", "/a/./b/../c", "//m.net/y", "https://n.net", "a/b/?q#f", "x;y", "/", "/.hidden", "a..b/...",
+]
+
+
+@pytest.mark.parametrize("base", ["https://s.net/dir/p", "http://s.net", "https://s.net/a/b/c/?q=/x/y", "https://s.net/d/#t"])
+def test_addresses_are_resolved_as_the_url_standard_says(spark, base):
+    found = spark.createDataFrame([(a, base) for a in ADDRESSES], "a STRING, base STRING").select("a", absolute(F.col("a"), F.col("base")).alias("found"))
+    for r in found.collect():
+        expected = urljoin(base, r["a"])
+        assert r["found"].removesuffix("/") == expected.removesuffix("/"), r["a"]
+    full = spark.createDataFrame([("http://o.net/a/../b/./c?x=/../y", base)], "a STRING, base STRING").select(absolute(F.col("a"), F.col("base"))).first()
+    assert full[0] == "http://o.net/b/c?x=/../y"
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        (LINK.format("/1") + LINK.format("/2") + LINK.format("/1") + REFRESH.format("/3"), {"/1", "/2", "/3"}),
+        ("<!-- " + LINK.format("/1") + " -->" + LINK.format("/2") + "<!-- " + LINK.format("/3"), {"/2"}),
+        ("<script>var x = '" + LINK.format("/1") + "';</script><link rel=canonical href=/2>", {"/2"}),
+        (LINK.format("/1?a=1&amp;b=2&#38;c"), {"/1?a=1&b=2&c"}),
+        ("<base href='/deep/er/'>" + LINK.format("x"), {"/deep/er/x"}),
+        ("<link rel='next' href='/1'><link rel='alternate canonical' data-href='/2' href=\n'/3'><link rel=canonical>", {"/3"}),
+        (LINK.format("mailto:a@b.net") + LINK.format("#top") + LINK.format(""), set()),
+        ("x" * 300_000 + LINK.format("/1") + "y" * 300_000, {"/1"}),
+        (None, set()),
+    ],
+)
+def test_all_links_of_a_page_count(spark, html, expected):
+    row = spark.createDataFrame([(html, "https://s.net/dir/p")], "html STRING, url STRING").select(named_addresses(F.col("html"), F.col("url")).alias("found")).first()
+    assert len(row["found"]) == len(set(row["found"])) and set(row["found"]) == {"https://s.net" + a for a in expected}
+
+
+def test_parameters_may_name_other_pages(spark):
+    rows = [(1, "https://m.net/?ref=a", LINK.format("https://b.com/de/1")), (2, "https://m.net/?ref=b", None), (3, "https://n.net", LINK.format("?ref=a")), (4, "//m.net", LINK.format("/x"))]
+    assert {k: v for k, (_, v) in judge(spark, rows).items()} == {1: "block", 2: "allow", 3: "allow", 4: "allow"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_link_graphs(spark, seed):
+    draw = random.Random(seed)
+    urls = [f"https://m{i}.net/{i}?x={i}" for i in range(120)] + [f"https://b.com/de/{i}" for i in range(8)] + [f"https://c.com/fr/{i}" for i in range(4)]
+    rows, parent = [], {u: u for u in urls}
+
+    def root(u):
+        while parent[u] != u:
+            u = parent[u]
+        return u
+
+    for i, u in enumerate(urls):
+        named = draw.sample(urls, draw.choice([0, 0, 0, 1, 1, 2]))
+        for v in named:
+            parent[root(u)] = root(v)
+        rows.append((i, u.replace("https", draw.choice(["http", "https"])), "".join(draw.choice([LINK, REFRESH]).format(escape(v)) for v in named)))
+    rows += rows[:5]
+    members = {}
+    for u in urls:
+        members.setdefault(root(u), set()).add(expected_rule(u)[3])
+    expected = {i: expected_rule(u)[3] or ("block" if "block" in members[root(u)] and "allow" not in members[root(u)] else "allow") for i, u in enumerate(urls)}
+    assert {k: v for k, (_, v) in judge(spark, rows).items()} == expected
