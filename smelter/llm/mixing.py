@@ -5,7 +5,8 @@ source, and what is cut off there is shared out again by weight. A source's rate
 document is taken floor(rate) times, and once more if a number drawn from its id's hash is below the rate's fraction.
 
 The sums are added up in each task before the shuffle; one row per source then goes through one task, so the number of
-sources has to fit there, the number of documents doesn't matter. No document moves: the rates are joined to the rows.
+sources has to fit there, the number of documents doesn't matter. The rates are stored and joined to the rows; up to the
+number of them that a broadcast may have, no document moves.
 
 A null text has no words and is taken as its source's rate says. A null source is a source, last in order. Rows that
 repeat an id draw the same number. A source without words has target 0 and isn't taken. Extra columns, also of the names
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smelter.llm.shared import free_names, needed
+from smelter.llm.shared import free_names, needed, small_side, stored
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
@@ -66,7 +67,7 @@ def copies(target: Column, source_size: Column, doc_id: Column) -> Column:
 def repetitions(docs: DataFrame) -> DataFrame:
     """Per document its size, its source's size and target, and the words that the mix takes of it."""
     sized = needed(docs, {"doc_id": "long", "text": "string", "source": "string"}).select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    rates = F.broadcast(targets(sized).withColumnRenamed("source", "of_source"))  # one row per source, see above
+    rates = small_side(stored(targets(sized).withColumnRenamed("source", "of_source"), "rates"))
     joined = sized.join(rates, sized["source"].eqNullSafe(rates["of_source"]), "left")
     n = copies(F.col("target"), F.col("source_size"), F.col("doc_id"))
     return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * n).alias("taken"), n.alias("copies"))
@@ -76,7 +77,7 @@ def mix(docs: DataFrame) -> DataFrame:
     """The documents as often as the mix takes them, with all their columns."""
     rate_source, rate_size, rate_target, copy = free_names(docs, "rate_source", "rate_size", "rate_target", "copy")
     sizes = needed(docs, {"text": "string", "source": "string"}).select("source", word_count(F.col("text")).alias("size"))
-    rates = F.broadcast(targets(sizes).toDF(rate_source, rate_size, rate_target))
+    rates = small_side(stored(targets(sizes).toDF(rate_source, rate_size, rate_target), "rates"))
     source = docs["source"].cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     doc_id = docs["doc_id"] if "doc_id" in docs.columns else F.lit(None)
     joined = docs.join(rates, source.eqNullSafe(rates[rate_source]))

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from smelter.llm.mixing import mix, repetitions, targets
+from smelter.llm.shared import small_side
 
 WEIGHTS, LIMIT = (5, 2, 1), 3
 
@@ -69,3 +70,16 @@ def test_every_source_comes_near_its_target(spark):
 
 def test_an_empty_table_gives_an_empty_mix(no_docs):
     assert mix(no_docs).collect() == [] == repetitions(no_docs).collect()
+
+
+def test_very_many_sources_join_without_a_broadcast(spark, monkeypatch):
+    """One source has a third of the documents, the others one each; a null one is among them."""
+    monkeypatch.setattr(small_side, "__defaults__", (50,))
+    rows = [(i, "w " * (1 + i % 7), "hot" if i % 3 == 0 else None if i == 1 else f"s{i}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING")
+    expected = shared_out({s: sum(1 + i % 7 for i, _, x in rows if x == s) for s in sorted({r[2] for r in rows}, key=lambda s: (s is None, s or ""))})
+    mixed, sources = repetitions(docs), {i: s for i, _, s in rows}
+    assert "strategy=broadcast" not in mixed._jdf.queryExecution().optimizedPlan().toString()
+    found = mixed.collect()
+    assert len(found) == 600 and all(r["target"] == pytest.approx(expected[sources[r["doc_id"]]]) for r in found)
+    assert mix(docs).count() == sum(r["copies"] for r in found)
