@@ -29,6 +29,7 @@ from smelter.llm.shared import map_batches, needed, shuffles_go, small_side, sto
 SHORTEST = 1000
 BREAK = "\r\n"
 FILE_RECORDS = 20_000
+RESPONSES_BROADCAST = 200_000  # lengths and digests, some 150 bytes a response
 
 
 def write_archive(pages: DataFrame, folder: str, date: Column | None = None) -> None:
@@ -211,6 +212,6 @@ def archived_records(spark: SparkSession, pages: DataFrame, folder: str) -> Data
     facts = stored(read.select("page_id", F.octet_length("block").cast("long").alias("payload_bytes"), digest.alias("read"), "payload_digest", "record_type", "refers_to", "record_id", "response_id"), "records")
     responses = facts.filter("record_type = 'response'").drop("response_id")
     held = responses.select(F.col("record_id").alias("response_id"), "payload_bytes", "read")
-    revisits = facts.filter("record_type = 'revisit'").drop("payload_bytes", "read").join(small_side(held), "response_id", "left").drop("response_id")
+    revisits = facts.filter("record_type = 'revisit'").drop("payload_bytes", "read").join(small_side(held, RESPONSES_BROADCAST), "response_id", "left").drop("response_id")
     whole = F.when(F.col("read") == F.col("payload_digest"), F.col("read")).otherwise(F.raise_error(F.concat(F.lit("damaged record "), "record_id")).cast("string"))
     return responses.unionByName(revisits).select("page_id", "payload_bytes", whole.alias("payload_digest"), "record_type", "refers_to")
