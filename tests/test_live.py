@@ -79,3 +79,12 @@ def test_customers_and_sales_in_buckets_join_without_a_shuffle(spark, loaded):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     build_gold(loaded)
     assert loaded.read(GOLD, "fact_sales").count() == 3
+
+
+def test_bucketed_tables_are_read_by_file_splits_with_all_rows(spark, loaded):
+    build_gold(loaded, buckets=4)
+    table = rows_of("fact_sales")
+    by_files = loaded.read_files(GOLD, table)
+    plan = by_files.groupBy("customer_key").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan  # not one task a bucket: the grouping shuffles splits of the files
+    assert sorted(by_files.collect(), key=repr) == sorted(loaded.read(GOLD, table).collect(), key=repr)
