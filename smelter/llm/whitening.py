@@ -3,7 +3,8 @@
 Components become whole numbers ``floor(64 * c) + 1000000``. Their covariance is never formed: all that is done with it is
 multiplying a block of ``BUFFER`` more vectors than are wanted, as ``X'(XQ) / n`` over the centred rows. Each task adds up its
 rows' part, and the parts are added up by dimension; so what is shuffled and collected depends on the number of dimensions
-alone. The vectors are stored once, in packed blocks that every pass reads.
+alone. The vectors are stored once, a few packed into each row, which every pass reads. Spark's readers hold thousands of
+rows at once, so a row is held to ``ROW_ENTRIES``; a task puts the rows of a batch together again and multiplies by blocks.
 
 Each round applies a Chebyshev polynomial by its three-term recurrence, one pass a degree. It is small on the interval that
 holds the unwanted eigenvalues and grows fast above it, so the block turns towards the largest ones; then come QR and a
@@ -34,7 +35,8 @@ SCALE, SHIFT = 64, 1_000_000
 MOST = 2.0**60
 SAFE = 1 << 62
 BUFFER = 16
-BLOCK_ENTRIES = 1 << 18
+BLOCK_ENTRIES = 1 << 18  # multiplied at once
+ROW_ENTRIES = 1 << 9  # stored in a row, or one vector if that is longer
 DEGREE = 12
 ROUNDS = 300
 CERTIFIED = 1e-12  # residual, beside the largest eigenvalue
@@ -53,27 +55,33 @@ def usable(table: DataFrame) -> DataFrame:
 
 
 def _packing(width: int) -> Callable:
-    size = max(1, BLOCK_ENTRIES // width)
+    per_row, per_block = max(1, ROW_ENTRIES // width), max(1, BLOCK_ENTRIES // width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lists = batch.column(0), batch.column(1)
-            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-            entries = np.zeros((batch.num_rows, width))
-            entries[np.arange(width) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
-            with np.errstate(over="ignore"):
-                whole = np.clip(np.floor(SCALE * entries), -MOST, MOST).astype(np.int64) + SHIFT
-            for at in range(0, batch.num_rows, size):
-                part = [ids[at : at + size].to_pylist()], [whole[at : at + size].tobytes()]
-                yield pa.record_batch([pa.array(part[0], pa.list_(pa.int64())), pa.array(part[1], pa.binary())], ["ids", "block"])
+            for at in range(0, batch.num_rows, per_block):
+                part = batch.slice(at, per_block)
+                ids, lists = part.column(0), part.column(1)
+                sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+                entries = np.zeros((part.num_rows, width))
+                entries[np.arange(width) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+                with np.errstate(over="ignore"):
+                    whole = np.clip(np.floor(SCALE * entries), -MOST, MOST).astype(np.int64) + SHIFT
+                cuts = [*range(0, part.num_rows, per_row), part.num_rows]
+                blocks = [whole[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+                yield pa.record_batch([pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), ids), pa.array(blocks, pa.binary())], ["ids", "block"])
 
     return run
 
 
 def _blocks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The ids and vectors of a batch's rows, put together to blocks."""
     ids, blocks = batch.column(batch.schema.get_field_index("ids")), batch.column(batch.schema.get_field_index("block"))
-    for own, block in zip(ids, blocks, strict=True):
-        yield own.values, np.frombuffer(block.as_py(), dtype=np.int64).reshape(-1, width)
+    per_row, per_block = max(1, ROW_ENTRIES // width), max(1, BLOCK_ENTRIES // width)
+    for at in range(0, batch.num_rows, max(1, per_block // per_row)):
+        part = slice(at, at + max(1, per_block // per_row))
+        whole = b"".join(blocks[part].to_pylist())
+        yield ids[part].flatten(), np.frombuffer(whole, dtype=np.int64).reshape(-1, width)
 
 
 def _summing(width: int) -> Callable:

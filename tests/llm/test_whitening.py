@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from smelter.llm import whitening
@@ -115,3 +116,26 @@ def test_large_entries_stay_exact(spark):
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, []), (2, [])]])
 def test_without_vectors_there_are_no_rows(spark, rows):
     assert whitened(spark.createDataFrame(rows, VECTORS)).collect() == []
+
+
+def test_stored_rows_are_small_whatever_their_number(spark):
+    """Spark's readers hold 4,096 rows of a column at once."""
+    rows = drawn(5000, 64, 4)
+    blocks = Vectors.of(spark.createDataFrame(rows, VECTORS).coalesce(1)).blocks.selectExpr("size(ids) n", "length(block) bytes").collect()
+    assert sum(r["n"] for r in blocks) == 5000 and all(r["bytes"] == 8 * 64 * r["n"] for r in blocks)
+    assert max(r["bytes"] for r in blocks) <= 8192
+    wide = Vectors.of(spark.createDataFrame(drawn(3, 3000, 5), VECTORS)).blocks.selectExpr("size(ids) n").collect()
+    assert [r["n"] for r in wide] == [1] * 3
+
+
+@pytest.mark.parametrize("n, width", [(1, 1), (5000, 64), (4097, 63), (9, 700)])
+def test_rows_come_back_in_blocks(n, width):
+    draw = np.random.default_rng(n)
+    vectors = draw.integers(-100, 100, (n, width)) / 64
+    ids = [None if i % 7 == 0 else i for i in range(n)]
+    batch = pa.record_batch([pa.array(ids, pa.int64()), pa.array(vectors.tolist(), pa.list_(pa.float64()))], ["vec_id", "embedding"])
+    stored = pa.Table.from_batches(whitening._packing(width)(iter([batch, batch]))).combine_chunks().to_batches()[0]
+    found = list(whitening._blocks(stored, width))
+    assert [i for own, _ in found for i in own.to_pylist()] == ids * 2
+    assert (np.concatenate([x for _, x in found]) == np.tile(vectors * 64, (2, 1)) + 1000000).all()
+    assert max(x.size for _, x in found) <= max(whitening.BLOCK_ENTRIES, width)
