@@ -121,3 +121,10 @@ def test_hot_customer_and_product_are_split_in_silver_and_in_the_orphan_checks(s
     few = k.sales_without_customer(sales, customers.filter("cust_id <> 7"))
     assert len(few.collect()) == 20_067  # the hot third, and 67 of the rest
     assert skew_splits(plan_of(few)) == 1
+
+
+def test_the_fact_is_not_shuffled_to_look_for_its_dimensions(skewed):
+    fact = skewed.range(1000).select(F.col("id").alias("customer_key"), (F.col("id") % 7).alias("product_key"), F.lit("SO").alias("order_number"))
+    customers, products = skewed.range(1, 900).select(F.col("id").alias("customer_key")), skewed.range(7).select(F.col("id").alias("product_key"))
+    missing = k.disconnected_facts(fact, customers, products)
+    assert "Exchange hashpartitioning" not in plan_of(missing) and missing.count() == 101

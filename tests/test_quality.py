@@ -70,6 +70,25 @@ def test_disconnected_facts(frame):
     assert found(k.disconnected_facts(fact, c, p)) == [("b", 1, 9, 0, 1), ("c", 9, 1, 1, 0), ("d", 9, 9, 1, 1)]
 
 
+KEYS = [None, None, 0, 1, 1, 1, 63, 64, 64, -1, -64, -65, 2**40, 2**63 - 1, -(2**63)]
+
+
+@pytest.mark.parametrize("most", [k.BROADCAST_ROWS, 0])
+def test_disconnected_facts_are_those_of_left_joins(frame, monkeypatch, most):
+    """Repeated, missing, negative and far keys, and keys of all dimensions missing."""
+    monkeypatch.setattr(k, "BROADCAST_ROWS", most)
+    wanted = [*KEYS, 2, 62, 65, -2, -63, 2**40 + 1]
+    fact = frame([(f"{a}/{b}", a, b) for a in wanted for b in wanted], "order_number STRING, customer_key BIGINT, product_key BIGINT")
+    for c_keys, p_keys in ((KEYS, KEYS[2:5] + [7, 7]), ([1, 64], KEYS[6:]), ([], [1])):
+        c, p = frame([(x,) for x in c_keys], "customer_key BIGINT"), frame([(x,) for x in p_keys], "product_key BIGINT")
+        want = [
+            (name, a, b, int(a not in c_keys or a is None), int(b not in p_keys or b is None))
+            for name, a, b in map(tuple, fact.collect())
+            for _ in range((a is not None and c_keys.count(a) or 1) * (b is not None and p_keys.count(b) or 1))
+        ]
+        assert found(k.disconnected_facts(fact, c, p)) == sorted([w for w in want if w[3] or w[4]], key=str)
+
+
 def test_one_pass_per_table_counts_what_the_single_checks_find(tables, frame):
     dirty = dict(tables)
     dirty["crm_cust_info"] = dirty["crm_cust_info"].unionAll(dirty["crm_cust_info"].selectExpr("cust_id", "' x'", *[c for c in dirty["crm_cust_info"].columns[2:]]))
