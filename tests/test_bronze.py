@@ -132,6 +132,16 @@ def test_written_extracts_load_again(warehouse, folder, tables):
         assert stored.exceptAll(df).count() == 0 and df.exceptAll(stored).count() == 0
 
 
+def test_compressed_extracts_load_as_plain_ones(warehouse, folder, tables):
+    for table, df in tables.items():
+        write_extract(df, table, folder, "gzip")
+        assert {f.split(".", 1)[1] for f in os.listdir(EXTRACTS[table].path(folder)) if f.startswith("part-")} <= {"csv.gz"}
+    load_bronze(warehouse, folder)
+    for table, df in tables.items():
+        stored = warehouse.read(BRONZE, table)
+        assert stored.exceptAll(df).count() == 0 and df.exceptAll(stored).count() == 0
+
+
 @pytest.mark.skipif("SMELTER_EXTRACTS" not in os.environ, reason="names a folder with the public product extracts")
 def test_golden_counts_of_the_public_extracts(warehouse, folder, tables):
     from pyspark.sql import functions as F

@@ -5,7 +5,7 @@ import tempfile
 import pytest
 
 from smelter.__main__ import main
-from smelter.plans.pipeline import build_silver, rows_of, run_pipeline
+from smelter.plans.pipeline import build_gold, build_silver, rows_of, run_pipeline
 from smelter.plans.profiles import CI
 from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, GOLD, GOLD_OBJECTS, SILVER
 from smelter.sources.extracts import write_extract
@@ -71,3 +71,15 @@ def test_ci_profile_repeats_sales_per_product_version(warehouse, tables):
     warehouse.overwrite(BRONZE, "crm_prd_info", tables["crm_prd_info"].unionByName(tables["crm_prd_info"]))
     build_silver(warehouse, DAY, CI)
     assert warehouse.read(SILVER, "crm_sales_details").count() == 6
+
+
+def test_the_stored_fact_is_not_shuffled_after_its_joins(warehouse, tables, monkeypatch):
+    for table, df in tables.items():
+        warehouse.overwrite(BRONZE, table, df)
+    build_silver(warehouse, DAY)
+    written = {}
+    overwrite = warehouse.overwrite
+    monkeypatch.setattr(warehouse, "overwrite", lambda layer, table, df, *args, **more: (written.update({table: df}), overwrite(layer, table, df, *args, **more)))
+    build_gold(warehouse)
+    plan = written[rows_of("fact_sales")]._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" not in plan.upper() and gold_counts(warehouse) == COUNTS

@@ -1,10 +1,13 @@
 import datetime as dt
 import os
+import re
+import time
 
 import pytest
 
 from smelter.schemas import AUDIT_COLUMN, BRONZE, EXTRACTS, GOLD, SILVER, silver_schema
-from smelter.session import new_folder, shared_folder
+from smelter.session import SHUFFLES_GO, new_folder, shared_folder, shuffles_go, written_once
+from smelter.sources.extracts import write_extract
 from smelter.sources.tables import with_load_time
 
 WHEN = dt.datetime(2024, 5, 6, 7, 8, 9)
@@ -134,3 +137,35 @@ def test_versions_but_the_last_two_are_removed(warehouse, frame):
     assert len(os.listdir(f"{warehouse.location}/silver/versions-t")) == 2
     warehouse.append(SILVER, "t", frame([(9,)], "a INT"), ["a"])
     assert sorted(tuple(r) for r in warehouse.read(SILVER, "t").collect()) == [(3,), (9,)]
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", blocks.getAllFiles().toString()))
+
+
+def test_shuffles_of_writes_go_with_them(spark, warehouse, folder, tables):
+    before = shuffle_files(spark)
+    places = tables["erp_loc_a101"].repartition(2, "cid")
+    warehouse.refresh(SILVER, "erp_loc_a101", silver_schema("erp_loc_a101"), with_load_time(places, WHEN))
+    warehouse.overwrite(GOLD, "t", places)
+    warehouse.overwrite(GOLD, "parted", places, ["cntry"])
+    warehouse.append(GOLD, "t", places, places.columns)
+    written_once(places, "places")
+    write_extract(places, "erp_loc_a101", folder)
+    for _ in range(100):  # they go in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+def test_writes_side_by_side_leave_the_setting_as_it_was(spark):
+    before = spark.conf.get(SHUFFLES_GO)
+    first, second = shuffles_go(spark), shuffles_go(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLES_GO) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLES_GO) == before
