@@ -38,6 +38,7 @@ BUFFER = 16
 BLOCK_ENTRIES = 1 << 18  # multiplied at once
 ROW_ENTRIES = 1 << 9  # stored in a row, or one vector if that is longer
 DEGREE = 12
+STEPS = 6  # of the lower bound, until it is used
 ROUNDS = 300
 CERTIFIED = 1e-12  # residual, beside the largest eigenvalue
 SPREAD = 1e10  # between the largest and the smallest wanted value of the polynomial
@@ -154,7 +155,12 @@ class Vectors:
 
 @dataclass
 class Lower:
-    """A lower bound of a positive semidefinite operator's spectrum, by Lanczos steps: one vector to multiply at a time."""
+    """A lower bound of a positive semidefinite operator's spectrum, by Lanczos steps: one vector to multiply at a time.
+
+    The smallest Ritz value less the residual's norm bounds the spectrum once some steps are done. After a few it need not, as
+    where all eigenvalues are nearly equal: the first one is then about their mean less their deviation. Until ``STEPS`` the
+    bound is 0, and it is always that of the last step.
+    """
 
     vector: np.ndarray
     basis: list[np.ndarray] = field(default_factory=list)
@@ -173,7 +179,8 @@ class Lower:
         norm = float(np.linalg.norm(rest))
         small = norm <= 1e-12 * max(abs(self.alpha[0]), 1e-300) or len(self.basis) == len(rest)
         ritz = np.linalg.eigvalsh(np.diag(self.alpha) + np.diag(self.beta, 1) + np.diag(self.beta, -1))
-        self.bound = max(self.bound, float(ritz[0]) - norm, 0.0) if not small else self.bound
+        if small or len(self.basis) >= STEPS:
+            self.bound = max(float(ritz[0]) - (0.0 if small else norm), 0.0)
         self.beta.append(0.0 if small else norm)
         self.vector = self.vector if small else rest / norm
 
@@ -202,19 +209,21 @@ def components(vectors: Vectors, wanted: int) -> tuple[np.ndarray, np.ndarray]:
         if residual <= CERTIFIED * limit and residual > last / 4 or residual <= 2e-16 * limit:
             return np.maximum(ritz[:wanted], 0.0), q[:, :wanted]
         last = residual
-        q = np.linalg.qr(_filtered(multiply, q, vq, ritz, wanted, lower.bound))[0]
+        q = np.linalg.qr(_filtered(multiply, q, vq, ritz, wanted, lower))[0]
     raise NotCertified(f"residual {last} after {ROUNDS} rounds")
 
 
-def _filtered(multiply: Callable, q: np.ndarray, vq: np.ndarray, ritz: np.ndarray, wanted: int, low: float) -> np.ndarray:
+def _filtered(multiply: Callable, q: np.ndarray, vq: np.ndarray, ritz: np.ndarray, wanted: int, lower: Lower) -> np.ndarray:
     """The scaled Chebyshev polynomial of the covariance times ``q``, whose product is known already."""
+    low = lower.bound if lower.bound <= ritz[-1] else 0.0  # no Ritz value is below the spectrum
+    most = DEGREE if len(lower.basis) >= STEPS else STEPS
     high = min(ritz[-1], ritz[wanted - 1] - 0.05 * (ritz[wanted - 1] - low))
     centre, half = (high + low) / 2, (high - low) / 2
     if half <= 1e-14 * ritz[0]:
-        return vq
+        return vq - high * q
     far = (ritz[0] - centre) / half
     growth = np.arccosh(far) - np.arccosh(max((ritz[wanted - 1] - centre) / half, 1.0))
-    degree = int(np.clip(np.log(SPREAD) / growth if growth > 0 else DEGREE, 2, DEGREE))
+    degree = int(np.clip(np.log(SPREAD) / growth if growth > 0 else most, 2, most))
     sigma = first = 1.0 / far
     before, now = q, (vq - centre * q) * (sigma / half)
     for _ in range(degree - 1):

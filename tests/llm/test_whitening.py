@@ -139,3 +139,37 @@ def test_rows_come_back_in_blocks(n, width):
     assert [i for own, _ in found for i in own.to_pylist()] == ids * 2
     assert (np.concatenate([x for _, x in found]) == np.tile(vectors * 64, (2, 1)) + 1000000).all()
     assert max(x.size for _, x in found) <= max(whitening.BLOCK_ENTRIES, width)
+
+
+class Given:
+    """A covariance of given eigenvalues, in place of stored vectors."""
+
+    def __init__(self, values):
+        self.width, self.passes = len(values), 0
+        basis = np.linalg.qr(np.random.default_rng(1).standard_normal((self.width, self.width)))[0]
+        self.covariance = (basis * values) @ basis.T
+
+    def covariance_times(self, q):
+        self.passes += 1
+        return self.covariance @ q
+
+
+SPECTRA = {
+    "of many vectors without a direction": 1 + 0.013 * np.cos(np.linspace(0.05, math.pi - 0.05, 64)),
+    "flatter": 1 + 1e-5 * np.linspace(1, 0, 200),
+    "one value beyond the block": np.r_[np.ones(60), np.linspace(0.999, 0.99, 140)],
+    "two values": np.r_[np.full(40, 2.0), np.ones(160)],
+    "equal values after the wanted ones": np.r_[np.linspace(2, 1.5, 32), np.ones(168)],
+    "equal values among the wanted ones": np.r_[np.linspace(3, 2, 5), np.ones(195)],
+    "one value": np.ones(100),
+    "no values": np.r_[np.linspace(5, 1, 20), np.zeros(180)],
+}
+
+
+@pytest.mark.parametrize("name", SPECTRA)
+def test_flat_spectra_are_certified(name):
+    given = Given(np.array(SPECTRA[name]))
+    values, axes = components(given, 32)
+    assert np.abs(values - SPECTRA[name][:32]).max() < 1e-12 * SPECTRA[name][0] and given.passes < 150
+    assert np.abs(axes.T @ axes - np.eye(32)).max() < 1e-12
+    assert np.abs(given.covariance @ axes - axes * values).max() < 1e-11
